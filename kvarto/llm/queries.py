@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from kvarto.llm.canonical import map_to_reference
 from kvarto.llm.lookalike import normalise
+from kvarto.llm.quality import fit_model, judge_texts, structured_texts, training_sample
+from kvarto.session import bounded_rows
 from kvarto.sources.tables import table
 
 QUERIES: dict = {}
@@ -58,3 +60,35 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p5_rewritten")
 def p5_rewritten(spark: SparkSession, d: str) -> DataFrame:
     return _p5(spark, d).select(F.col("id").alias("row_id"), "field", "plain", F.concat_ws(",", "kinds").alias("kinds"))
+
+
+#: running texts that the classifier of p6 is fitted on, at most
+P6_SAMPLE = 6000
+
+
+def common_set(spark: SparkSession, d: str) -> frozenset[str]:
+    """Frequent Swedish words: the ranked list and the lexicon's function words (both tables have a fixed size)."""
+    ranked = table(spark, d, "common_words").filter("lang = 'sv' AND word IS NOT NULL").select(F.lower("word").alias("w"))
+    small = table(spark, d, "lexicon").filter("category IN ('smaord', 'preposition', 'lopande', 'adverb') AND term IS NOT NULL").select(F.lower("term").alias("w"))
+    rows = bounded_rows(ranked.union(small).distinct(), 100_000)
+    if rows is None:
+        raise ValueError("the lists of common words are larger than the driver should hold")
+    return frozenset(r["w"] for r in rows)
+
+
+def _p6(spark: SparkSession, d: str, with_stats: bool) -> DataFrame:
+    bok = table(spark, d, "bok")
+    running = bok.filter(F.col("type").isin("paragraph", "boxed_text")).select("row_id", "text")
+    common = common_set(spark, d)
+    model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
+    return judge_texts(running, "row_id", "text", model, common, with_stats).withColumnRenamed("id", "row_id")
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p6(spark, d, False).filter("form <> 'prose'").select("row_id", "form")
+
+
+@query("p6_statistics")
+def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _p6(spark, d, True)
