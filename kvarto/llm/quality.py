@@ -127,6 +127,17 @@ def structured_texts(items: Column, rows: Column, df: DataFrame) -> dict[str, Da
     return {"list": listed.filter(F.length("text") > 0), "table": tables.filter(F.length("text") > 0)}
 
 
+def form_probabilities(model: BoostedTrees, stats: np.ndarray) -> np.ndarray:
+    """Calibrated probabilities of FORMS; a text without words is junk."""
+    p = model.probabilities(stats)
+    p[stats[:, 1] == 0] = [f == "junk" for f in FORMS]
+    return p
+
+
+def forms_of(model: BoostedTrees, stats: np.ndarray) -> list[str]:
+    return [FORMS[i] for i in form_probabilities(model, stats).argmax(1)]
+
+
 def judge_texts(df: DataFrame, id_col: str, text_col: str, model: BoostedTrees, common: Collection[str], with_stats: bool = True) -> DataFrame:
     """(id, statistics.., form, p_prose..) of each text that isn't null.
 
@@ -141,8 +152,7 @@ def judge_texts(df: DataFrame, id_col: str, text_col: str, model: BoostedTrees,
         model, common = shared.value
         for batch in batches:
             stats = np.array([text_statistics(t, common) for t in batch["text"]]).reshape(-1, len(STATS))
-            p = model.probabilities(stats)
-            p[stats[:, 1] == 0] = [f == "junk" for f in FORMS]
+            p = form_probabilities(model, stats)
             out = pd.DataFrame({"id": batch["id"], "form": np.array(FORMS)[p.argmax(1)]})
             if with_stats:
                 out[list(STATS)], out[probabilities] = stats, p

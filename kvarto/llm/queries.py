@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvarto.llm.canonical import map_to_reference
 from kvarto.llm.lookalike import normalise
-from kvarto.llm.quality import fit_model, judge_texts, structured_texts, training_sample
-from kvarto.session import bounded_rows
+from kvarto.llm.quality import fit_model, forms_of, judge_texts, structured_texts, text_statistics, training_sample
+from kvarto.llm.scanned import book_headers, repair_texts, word_counts
+from kvarto.session import bounded_rows, checkpointed
 from kvarto.sources.tables import table
 
 QUERIES: dict = {}
@@ -92,3 +94,50 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p6_statistics")
 def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
+
+
+def lexicon_words(spark: SparkSession, d: str) -> tuple[frozenset[str], frozenset[str]]:
+    """(word forms, first parts of compounds) of the lexicon, a table of fixed size."""
+    rows = bounded_rows(table(spark, d, "lexicon").filter("term IS NOT NULL").select(F.lower("term").alias("t"), F.coalesce("category", F.lit("")).alias("c")), 200_000)
+    if rows is None:
+        raise ValueError("the lexicon is larger than the driver should hold")
+    return frozenset(r["t"] for r in rows if r["c"] != "förled"), frozenset(r["t"] for r in rows if r["c"] in ("förled", "substantiv"))
+
+
+class NotProse:
+    """Marks the running texts that p6 takes for a list, a table or junk."""
+
+    def __init__(self, model, common):
+        self.model, self.common = model, common
+
+    def __call__(self, batch) -> list[bool]:
+        out = [False] * len(batch)
+        at = [i for i, f in enumerate(batch["field"]) if f == "text"]
+        if at:
+            stats = np.array([text_statistics(t, self.common) for t in batch["text"].iloc[at]])
+            for i, form in zip(at, forms_of(self.model, stats)):
+                out[i] = form != "prose"
+        return out
+
+
+def _p2(spark: SparkSession, d: str) -> DataFrame:
+    bok, corrections = table(spark, d, "bok"), table(spark, d, "corrections")
+    running = bok.filter(F.col("type").isin("paragraph", "boxed_text"))
+    part = lambda df, field, ident: df.select(F.lit(field).alias("field"), F.col(ident).alias("rec_id"), "book", "page", F.col(field).alias("text"))
+    texts = part(running, "text", "row_id").unionByName(part(corrections, "original", "correction_id")).unionByName(part(corrections, "corrected", "correction_id"))
+    common = common_set(spark, d)
+    lexicon, prefixes = lexicon_words(spark, d)
+    model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
+    headers = book_headers(bok.filter("type = 'page_artifact'"), table(spark, d, "books"), bok.filter("type = 'heading' AND level <= 2"))
+    counts = checkpointed(word_counts(texts, "text"))
+    return repair_texts(texts, counts, headers, lexicon, prefixes, skip=NotProse(model, common))
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p2(spark, d).select("field", "rec_id", F.explode("kinds").alias("noise"))
+
+
+@query("p2_repaired")
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return _p2(spark, d).select("field", "rec_id", "repaired")
