@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvarto.llm.canonical import map_to_reference
 from kvarto.llm.lookalike import normalise
+from kvarto.llm.mixing import mix, mix_report, supply_report
+from kvarto.llm.packing import filling, pack, sized_once
 from kvarto.llm.quality import fit_model, forms_of, judge_texts, structured_texts, text_statistics, training_sample
 from kvarto.llm.scanned import book_headers, repair_texts, word_counts
-from kvarto.session import bounded_rows, checkpointed
+from kvarto.llm.splitting import split_documents
+from kvarto.llm.tokens import with_tokens
+from kvarto.session import bounded_rows, broadcast_checked, checkpointed
 from kvarto.sources.tables import table
 
 QUERIES: dict = {}
@@ -141,3 +147,62 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p2_repaired")
 def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
     return _p2(spark, d).select("field", "rec_id", "repaired")
+
+
+def _limits(spark: SparkSession, d: str) -> dict[str, tuple[int, int]]:
+    rows = bounded_rows(table(spark, d, "size_limits"), 10_000) or []
+    return {r["limit_name"]: (r["capacity_tokens"], r["overlap_tokens"]) for r in rows}
+
+
+def _packed(spark: SparkSession, d: str) -> dict[str, tuple[int, DataFrame]]:
+    sized = sized_once(with_tokens(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("doc_id", "id"))
+    limits = _limits(spark, d)
+    return {name: (limits[name][0], pack(sized, limits[name][0])) for name in ("pack_small", "pack_large") if name in limits}
+
+
+@query("p7_packing")
+def p7_packing(spark: SparkSession, d: str) -> DataFrame:
+    parts = [df.select(F.lit(name).alias("limit_name"), F.col("id").alias("doc_id"), "piece", "size", "sequence", "place") for name, (_, df) in _packed(spark, d).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("p7_filling")
+def p7_filling(spark: SparkSession, d: str) -> DataFrame:
+    parts = [filling(df, capacity).select(F.lit(name).alias("limit_name"), "sequences", "tokens", "unused", "filled") for name, (capacity, df) in _packed(spark, d).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _sources(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of sources to be mixed, with their tokens, counted once."""
+    docs, targets = table(spark, d, "documents"), table(spark, d, "mix_targets")
+    wanted = docs.join(broadcast_checked(targets.select("source"), 100_000), "source", "left_semi")
+    return sized_once(with_tokens(wanted, "doc_id", "text", ["source"]).withColumnRenamed("doc_id", "id"))
+
+
+@query("p8_found")
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return supply_report(_sources(spark, d), table(spark, d, "mix_targets")).filter("short").select("source")
+
+
+@query("p8_mix")
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mix(_sources(spark, d), table(spark, d, "mix_targets")).groupBy(F.col("id").alias("doc_id"), "source").agg(F.count("*").alias("uses"))
+
+
+@query("p8_shares")
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mix_report(_sources(spark, d), table(spark, d, "mix_targets"))
+
+
+def _split(spark: SparkSession, d: str) -> DataFrame:
+    return split_documents(table(spark, d, "documents"), "doc_id", "text", *_limits(spark, d)["cut"])
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _split(spark, d).filter("piece = 0").select(F.col("id").alias("doc_id"))
+
+
+@query("p9_pieces")
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return _split(spark, d).withColumnRenamed("id", "doc_id")
