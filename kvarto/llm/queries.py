@@ -126,7 +126,7 @@ class NotProse:
         return out
 
 
-def _p2(spark: SparkSession, d: str) -> DataFrame:
+def _p2(spark: SparkSession, d: str, only_noisy: bool) -> DataFrame:
     bok, corrections = table(spark, d, "bok"), table(spark, d, "corrections")
     running = bok.filter(F.col("type").isin("paragraph", "boxed_text"))
     part = lambda df, field, ident: df.select(F.lit(field).alias("field"), F.col(ident).alias("rec_id"), "book", "page", F.col(field).alias("text"))
@@ -136,17 +136,17 @@ def _p2(spark: SparkSession, d: str) -> DataFrame:
     model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
     headers = book_headers(bok.filter("type = 'page_artifact'"), table(spark, d, "books"), bok.filter("type = 'heading' AND level <= 2"))
     counts = checkpointed(word_counts(texts, "text"))
-    return repair_texts(texts, counts, headers, lexicon, prefixes, skip=NotProse(model, common))
+    return repair_texts(texts, counts, headers, lexicon, prefixes, skip=NotProse(model, common), only_noisy=only_noisy)
 
 
 @query("p2_found")
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _p2(spark, d).select("field", "rec_id", F.explode("kinds").alias("noise"))
+    return _p2(spark, d, True).select("field", "rec_id", F.explode("kinds").alias("noise"))
 
 
 @query("p2_repaired")
 def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
-    return _p2(spark, d).select("field", "rec_id", "repaired")
+    return _p2(spark, d, False).select("field", "rec_id", "repaired")
 
 
 def _limits(spark: SparkSession, d: str) -> dict[str, tuple[int, int]]:
