@@ -95,11 +95,11 @@ def difference_values(left: DataFrame, right: DataFrame, key: str, fields: Seque
         types = {f.name: f.dataType for f in df.schema.fields}
         digest = F.struct(F.col(f"`{version}`").alias("version"), *[field_hash(F.col(f"`{f}`"), types[f]).alias(f"f{i}") for i, f in enumerate(fields)])
         values = F.struct(*[F.col(f"`{f}`").cast("string").alias(f"v{i}") for i, f in enumerate(fields)])
-        rows = df.select(F.col(f"`{key}`").alias("k"), digest.alias("digest"), values.alias("value"))
-        rows = rows.join(wide.select(F.col(key).alias("wanted")), F.col("k").eqNullSafe(F.col("wanted")), "left_semi")
-        return rows.groupBy("k").agg(F.max(F.struct("digest", "value")).alias("m")).select("k", F.col("m.value").alias(name))
+        rows = df.select(F.col(f"`{key}`").alias("k__"), digest.alias("digest"), values.alias("value"))
+        rows = rows.join(wide.select(F.col(key).alias("wanted__")), F.col("k__").eqNullSafe(F.col("wanted__")), "left_semi")
+        return rows.groupBy("k__").agg(F.max(F.struct("digest", "value")).alias("m")).select("k__", F.col("m.value").alias(name))
 
-    joined = wide.join(side(left, "lv"), F.col(key).eqNullSafe(F.col("k"))).drop("k").join(side(right, "rv"), F.col(key).eqNullSafe(F.col("k"))).drop("k")
+    joined = wide.join(side(left, "lv"), F.col(key).eqNullSafe(F.col("k__"))).drop("k__").join(side(right, "rv"), F.col(key).eqNullSafe(F.col("k__"))).drop("k__")
     pick = lambda v: F.array(*[F.struct(F.lit(f).alias("diff"), F.col(f"lv.v{i}").alias("left_value"), F.col(f"rv.v{i}").alias("right_value")) for i, f in enumerate(fields)])
     values = joined.select(key, F.explode(F.filter(pick(0), lambda x: F.array_contains("diffs", x["diff"]))).alias("d")).select(key, "d.*")
     missing = found.filter(F.col("diff").isin(*labels)).select(key, "diff", F.lit(None).cast("string").alias("left_value"), F.lit(None).cast("string").alias("right_value"))
