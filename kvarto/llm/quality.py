@@ -43,6 +43,7 @@ def text_statistics(text: str, common: Collection[str]) -> list[float]:
 
     They are taken from the text in plain forms, without blanks at line ends; a line of spaced capitals counts as its letters.
     """
+    size = float(len(text))
     if _MARKS.search(text):
         text = _MARKS.sub(lambda m: "" if unicodedata.category(m[0]) == "Cf" else "\n" if m[0] in "\r\x85\u2028" else m[0], text.replace("\r\n", "\n"))
         text = unicodedata.normalize("NFKC", text)
@@ -51,7 +52,7 @@ def text_statistics(text: str, common: Collection[str]) -> list[float]:
     text = _SPACED.sub(lambda m: m[0].replace(" ", "") if m[0].isupper() else m[0], text)
     tokens = text.split()
     if not tokens:
-        return [float(len(text))] + [0.0] * (len(STATS) - 1)
+        return [size] + [0.0] * (len(STATS) - 1)
     words = _WORD.findall(text)
     lines = [x for x in text.splitlines() if x.strip()]
     solid = sum(map(len, tokens))
@@ -62,7 +63,7 @@ def text_statistics(text: str, common: Collection[str]) -> list[float]:
     ends = [bool(_END.search(x)) for x in lines]
     bare = sum(1 for x, end in zip(lines, ends) if not end and len(x.split()) <= 5)
     return [
-        float(len(text)), float(n), float(k), letters / m, letters / solid, digits / solid, (solid - letters - digits) / solid, sum(ends) / k,
+        size, float(n), float(k), letters / m, letters / solid, digits / solid, (solid - letters - digits) / solid, sum(ends) / k,
         sum(1 for w in words if w.lower() in common) / m, sum(1 for x in lines if _BULLET.match(x)) / k, sum(1 for x in lines if _COLUMNS.search(x)) / k,
         (text.count(",") + text.count(";")) / n, len({t.lower() for t in tokens}) / n, sum(1 for w in longer if not _VOWEL.search(w)) / max(1, len(longer)),
         sum(1 for t in tokens if len(t) == 1) / n, len(_SENTENCE.findall(text)) / n, float(ends[-1]), float(lines[0].lstrip("\"”“ ")[:1].isupper()), n / k, bare / k,
