@@ -223,7 +223,8 @@ def map_to_reference(df: DataFrame, name_col: str, reference: DataFrame, id_col:
             for batch in batches:
                 yield pd.DataFrame(_rows(matcher, batch["clean__"]), columns=["clean__", "distance", "ids"]).astype({"distance": "Int32"})
 
-        hits = names.mapInPandas(search, schema)
+        # names are few bytes and each takes long: spread them over all cores whatever their size
+        hits = names.repartition(2 * spark.sparkContext.defaultParallelism).mapInPandas(search, schema)
     else:
         shards = -(-entries.count() // shard_size)
         blocks = max(1, -(-names.count() // block_size))
