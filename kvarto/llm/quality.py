@@ -32,6 +32,9 @@ _MARKS = re.compile(r"[\u0300-\u036f\u200b-\u200f\u2060\ufeff]|[\uff00-\uffef]|[
 _COLUMNS = re.compile(r"\S(?:\t|\s{3,}|\s*\|\s*|;)\S|(?:\.\s?){4,}|\S\s{2,}(?:\S+\s{2,}\S+|\S+\s*)$")
 _END = re.compile(r"[.!?…:][\"”'’)]*\s*$")
 _SENTENCE = re.compile(r"[a-zåäöé\d)\"”]{2}[.!?…][\"”'’)]*(?=\s*\n|\s+[\"”A-ZÅÄÖ]|\s*$)")
+#: what every match of _COLUMNS and of _ODD holds, quick to look for
+_MAY_BE_COLUMNS = re.compile(r"[\t|;]|\s\s|\.\s?\.")
+_ODD_ANY = re.compile(r"[^\w\s.,;:!?\"'”’()\[\]/%+*–—…•|&=-]|[ÃÂï]")
 _VALUE = re.compile(r"[\d–%+/-]+|\d+[TtDd]\d+(?:[+-]\d+)?")
 _VOWEL = re.compile(r"[aeiouyåäöáéèïüæøAEIOUYÅÄÖ]")
 #: signs that running text doesn't use, and the traces of a text decoded with the wrong character set
@@ -44,13 +47,15 @@ def text_statistics(text: str, common: Collection[str]) -> list[float]:
     They are taken from the text in plain forms, without blanks at line ends; a line of spaced capitals counts as its letters.
     """
     size = float(len(text))
-    if _MARKS.search(text):
+    if _needs_folding(text):
         text = _MARKS.sub(lambda m: "" if unicodedata.category(m[0]) == "Cf" else "\n" if m[0] in "\r\x85\u2028" else m[0], text.replace("\r\n", "\n"))
         text = unicodedata.normalize("NFKC", text)
     if " \n" in text:
         text = re.sub(r" +\n", "\n", text)
-    text = _SPACED.sub(lambda m: m[0].replace(" ", "") if m[0].isupper() else m[0], text)
     tokens = text.split()
+    if sum(1 for t in tokens if len(t) == 1) > 3:
+        text = _SPACED.sub(lambda m: m[0].replace(" ", "") if m[0].isupper() else m[0], text)
+        tokens = text.split()
     if not tokens:
         return [size] + [0.0] * (len(STATS) - 1)
     words = _WORD.findall(text)
@@ -62,15 +67,25 @@ def text_statistics(text: str, common: Collection[str]) -> list[float]:
     longer = [w for w in words if len(w) > 1]
     ends = [bool(_END.search(x)) for x in lines]
     bare = sum(1 for x, end in zip(lines, ends) if not end and len(x.split()) <= 5)
+    odd = sum(map(len, _ODD.findall(text))) if _ODD_ANY.search(text) else 0
+    run = sum(len(m[0]) for m in _RUN.finditer(text)) if any(c * 5 in text for c in set(text) if c not in " .\n\t") else 0
     return [
         size, float(n), float(k), letters / m, letters / solid, digits / solid, (solid - letters - digits) / solid, sum(ends) / k,
-        sum(1 for w in words if w.lower() in common) / m, sum(1 for x in lines if _BULLET.match(x)) / k, sum(1 for x in lines if _COLUMNS.search(x)) / k,
+        sum(1 for w in words if w.lower() in common) / m, sum(1 for x in lines if _BULLET.match(x)) / k, sum(1 for x in lines if _MAY_BE_COLUMNS.search(x) and _COLUMNS.search(x)) / k,
         (text.count(",") + text.count(";")) / n, len({t.lower() for t in tokens}) / n, sum(1 for w in longer if not _VOWEL.search(w)) / max(1, len(longer)),
         sum(1 for t in tokens if len(t) == 1) / n, len(_SENTENCE.findall(text)) / n, float(ends[-1]), float(lines[0].lstrip("\"”“ ")[:1].isupper()), n / k, bare / k,
-        sum(1 for t in tokens if _VALUE.fullmatch(t)) / n, sum(map(len, _ODD.findall(text))) / solid, sum(len(m[0]) for m in _RUN.finditer(text)) / solid,
+        sum(1 for t in tokens if _VALUE.fullmatch(t)) / n, odd / solid, run / solid,
     ]
 
 
+def _needs_folding(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _MARKS.search(text) is not None
+    return "\r" in text or "\u00a0" in text or "\x85" in text or "\x0b" in text or "\x0c" in text
+
+
 def weak_label(s: dict[str, float]) -> str | None:
     """A label where a rule is sure, else None."""
     if s["n_words"] == 0:
@@ -114,13 +129,21 @@ def fit_model(sample: list[tuple[str, str | None]], common: Collection[str]) ->
 
 def training_sample(texts: DataFrame, id_col: str, text_col: str, structured: dict[str, DataFrame], bound: int) -> list[tuple[str, str | None]]:
     """At most `bound` running texts, chosen by a hash of their id, and a quarter as many of each structured form (its text is column `text`)."""
-    chosen = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit(17)).alias("h")).orderBy("h", "text").limit(bound)
-    rows: list[tuple[str, str | None]] = [(r["text"], None) for r in chosen.collect()]
+    chosen = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.lit(17)).alias("h"))
+    rows: list[tuple[str, str | None]] = [(t, None) for t in _least_hashes(chosen, bound)]
     for form, df in structured.items():
-        rows += [(r["text"], form) for r in df.select("text", F.xxhash64("text", F.lit(17)).alias("h")).orderBy("h", "text").limit(bound // 4).collect()]
+        rows += [(t, form) for t in _least_hashes(df.select("text", F.xxhash64("text", F.lit(17)).alias("h")), bound // 4)]
     return rows
 
 
+def _least_hashes(df: DataFrame, bound: int) -> list[str]:
+    """The texts with the `bound` least hashes `h`. Rows whose hash can't be among them stay where they are: the driver gets about 1.5 times the bound from all tasks together."""
+    n = df.count()
+    if n > bound:
+        df = df.filter(F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) < min(1.0, 1.5 * bound / n))
+    return [r["text"] for r in df.orderBy(F.shiftrightunsigned("h", 11), "text").limit(bound).collect()]
+
+
 def structured_texts(items: Column, rows: Column, df: DataFrame) -> dict[str, DataFrame]:
     """Texts as lists and tables would stand if they had been read as running text."""
     listed = df.filter(F.size(items) > 2).select(F.array_join(F.transform(items, lambda x: F.concat(F.lit("- "), x)), "\n").alias("text"))
