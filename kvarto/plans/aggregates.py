@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kvarto.functions.ranks import floor_rank, nearest_rank, upper_median
 from kvarto.functions.text import artifact_key
+from kvarto.operators.statistics import floored, nearest, order_statistics
 from kvarto.plans import query
 from kvarto.plans.elements import CURRENT, current
 from kvarto.sources.tables import table
@@ -52,9 +52,10 @@ def weighted_median(spark: SparkSession, d: str) -> DataFrame:
     "a07_order_statistics",
     f"WITH {CURRENT}, s AS (SELECT book, list_sort(list(w)) AS v, median(w) AS median FROM e WHERE w IS NOT NULL GROUP BY 1) SELECT book, round(median, 6) AS median, v[(round_even(0.9 * (len(v) - 1), 0) + 1)::INT] AS p90, v[least(floor(0.75 * len(v)) + 1, len(v))::INT] AS q75, v[(len(v) // 2 + 1)::INT] AS upper_median, len(v) AS n FROM s",
 )
-def order_statistics(spark: SparkSession, d: str) -> DataFrame:
+def widths_in_order(spark: SparkSession, d: str) -> DataFrame:
     e = current(spark, d, "book", "w").filter("w IS NOT NULL")
-    return e.groupBy("book").agg(F.round(F.median("w"), 6).alias("median"), nearest_rank(F.col("w"), 0.9).alias("p90"), floor_rank(F.col("w"), 0.75).alias("q75"), upper_median(F.col("w")).alias("upper_median"), F.count("*").alias("n"))
+    ranks = order_statistics(e, ["book"], "w", {"p90": nearest(0.9), "q75": floored(0.75), "upper_median": floored(0.5)})
+    return ranks.join(e.groupBy("book").agg(F.round(F.median("w"), 6).alias("median")), "book").select("book", "median", "p90", "q75", "upper_median", "n")
 
 
 @query(

@@ -3,13 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kvarto.functions.ranks import floor_rank, nearest_rank
+from kvarto.functions.ranks import nearest_rank
 from kvarto.functions.text import name_key, normalise, tokens
 from kvarto.operators.bags import bag_difference, word_bag
 from kvarto.operators.boxes import overlapping, union_box
 from kvarto.operators.formulas import compile_formula
 from kvarto.operators.lookups import term_index
 from kvarto.operators.sequences import gap_clusters
+from kvarto.operators.statistics import floored, order_statistics
 from kvarto.plans import query
 from kvarto.plans.choices import _FOLD, _NAME
 from kvarto.plans.elements import CURRENT, current
@@ -138,7 +139,8 @@ def band_flags(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a14_full_widths", f"WITH {CURRENT}, s AS (SELECT book, region, list_sort(list(w)) AS v FROM e WHERE w >= 0.15 AND region IS NOT NULL GROUP BY 1, 2) SELECT book, region, v[least(floor(0.85 * len(v)) + 1, len(v))::INT] AS width FROM s")
 def full_widths(spark: SparkSession, d: str) -> DataFrame:
-    return current(spark, d, "book", "region", "w").filter("w >= 0.15 AND region IS NOT NULL").groupBy("book", "region").agg(floor_rank(F.col("w"), 0.85).alias("width"))
+    e = current(spark, d, "book", "region", "w").filter("w >= 0.15 AND region IS NOT NULL")
+    return order_statistics(e, ["book", "region"], "w", {"width": floored(0.85)}).select("book", "region", "width")
 
 
 @query(

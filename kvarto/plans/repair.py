@@ -5,7 +5,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kvarto.functions.ranks import floor_rank
 from kvarto.operators import corrections as records
 from kvarto.operators.alignment import bind_pages
 from kvarto.operators.bags import word_bag
@@ -13,6 +12,7 @@ from kvarto.operators.dice import repair
 from kvarto.operators.grids import table_blocks
 from kvarto.operators.images import measure_images
 from kvarto.operators.regions import column_count, column_references, normalised
+from kvarto.operators.statistics import floored, order_statistics
 from kvarto.plans import query
 from kvarto.plans.elements import CURRENT, current
 from kvarto.plans.screening import _REAL, _TOKENS
@@ -134,7 +134,8 @@ def indent_levels(spark: SparkSession, d: str) -> DataFrame:
 def reflow(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs that go on: after a hyphen, or after a full line without a new indent."""
     e = current(spark, d, "book", "page", "idx", "type", "text", "region", "x", "w", "removed").filter("NOT coalesce(removed, false)")
-    full = e.filter("type = 'paragraph' AND w IS NOT NULL AND region IS NOT NULL").groupBy("book", "region").agg(floor_rank(F.col("w"), 0.75).alias("full_width"))
+    full = e.filter("type = 'paragraph' AND w IS NOT NULL AND region IS NOT NULL")
+    full = order_statistics(full, ["book", "region"], "w", {"full_width": floored(0.75)}).drop("n")
     k = Window.partitionBy("book", "page").orderBy("idx", "element_key")
     n = e.join(full, ["book", "region"], "left").withColumns({f"p_{c}": F.lag(c).over(k) for c in ("type", "text", "w", "x")})
     goes_on = (F.col("type") == "paragraph") & (F.col("p_type") == "paragraph") & (F.coalesce(F.col("p_text").endswith("-"), F.lit(False)) | ((F.round(F.col("p_w") - 0.92 * F.col("full_width"), 9) >= 0) & (F.round(F.col("x") - F.col("p_x") - 0.018, 9) < 0)))

@@ -9,6 +9,7 @@ from kvarto.operators.lookups import range_lookup, single_match
 from kvarto.operators.render import page_markdown, unwrapped
 from kvarto.operators.rules import scan
 from kvarto.operators.sequences import anchor_bands, gap_clusters, runs
+from kvarto.operators.statistics import floored, nearest, order_statistics
 from kvarto.operators.tables import assemble, csv_lines, markdown, stitch
 from kvarto.operators.versions import MERGE_ORDER, best_stage, newest
 
@@ -41,6 +42,15 @@ def test_order_statistics(spark):
     assert df.limit(0).agg(nearest_rank(F.col("v"), 0.5)).first()[0] is None
 
 
+def test_order_statistics_of_counts(spark):
+    r = random.Random(2)
+    values = [("a", float(r.randint(1, 9))) for _ in range(50)] + [("b", 3.0)] + [("c", None)]
+    df = spark.createDataFrame(values, "g string, v double")
+    got = {x["g"]: tuple(x)[1:] for x in order_statistics(df, ["g"], "v", {"p": nearest(0.9), "q": floored(0.75), "m": floored(0.5)}).collect()}
+    s = sorted(v for g, v in values if g == "a")
+    assert got == {"a": (50, s[round(0.9 * 49)], s[37], s[25]), "b": (1, 3.0, 3.0, 3.0)}
+
+
 def test_versions(spark):
     rows = [(1, 1, "final", 1), (1, 2, "embedded", 9), (2, 3, "validated", None), (2, 4, "validated", 2), (3, 5, "other", 1), (2, 6, "validated", 2)]
     df = spark.createDataFrame(rows, "k long, row_id long, stage string, s long").withColumn("at", F.timestamp_seconds("s"))
