@@ -89,19 +89,19 @@ def added_elements(spark: SparkSession, d: str) -> DataFrame:
     return bok.groupBy("element_key").agg(F.bool_or(F.col("stage") == "final").alias("f"), F.bool_or(F.col("stage") != "final").alias("o")).filter("f AND NOT coalesce(o, false)").select("element_key")
 
 
-@query("p03_state_at_least", "SELECT stage, stage IN ('validated', 'reviewed', 'final') AS far, count(*) AS n FROM bok GROUP BY 1, 2")
+@query("pf03_state_at_least", "SELECT stage, stage IN ('validated', 'reviewed', 'final') AS far, count(*) AS n FROM bok GROUP BY 1, 2")
 def far_enough(spark: SparkSession, d: str) -> DataFrame:
     state = F.when(F.col("stage") == "transcript", "transcribed").when(F.col("stage") == "embedded", "extracted").otherwise(F.col("stage"))
     return table(spark, d, "bok").groupBy("stage", at_least(state, "validated").alias("far")).agg(F.count("*").alias("n"))
 
 
-@query("p04_pending_pages", "SELECT book, page FROM bok GROUP BY 1, 2 HAVING NOT bool_or(stage = 'transcript' OR stage = 'final')")
+@query("pf04_pending_pages", "SELECT book, page FROM bok GROUP BY 1, 2 HAVING NOT bool_or(stage = 'transcript' OR stage = 'final')")
 def pending_pages(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bok").groupBy("book", "page").agg(F.bool_or(F.col("stage").isin("transcript", "final")).alias("seen")).filter("NOT seen").select("book", "page")
 
 
 @query(
-    "p05_review_jobs",
+    "pf05_review_jobs",
     f"WITH {CURRENT}, p AS (SELECT book, page, bool_or(type = 'table') AS tables, count(*) AS n, bool_or(stage = 'final') AS done, bool_and(type = 'illustration') AS only_pictures FROM e GROUP BY 1, 2) "
     "SELECT book, page, CASE WHEN tables OR n > 8 THEN 'språk,layout' ELSE 'språk' END AS reviewers FROM p WHERE NOT done AND NOT only_pictures",
 )
@@ -114,7 +114,7 @@ def review_jobs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "p08_page_class",
+    "pf08_page_class",
     f"WITH {CURRENT}, b AS (SELECT book, page, count(*) FILTER (type NOT IN ('page_artifact', 'illustration')) AS body, count(*) FILTER (type IN ('table', 'table_cell', 'table_caption')) AS tables, "
     "count(*) FILTER (type NOT IN ('page_artifact', 'illustration') AND length(coalesce(text, '')) <= 40) AS short, count(DISTINCT region) FILTER (region LIKE 'kolumn%') AS columns FROM e WHERE NOT coalesce(removed, false) GROUP BY 1, 2) "
     "SELECT book, page, CASE WHEN body < 10 THEN 'annat' WHEN tables >= 0.30 * body THEN 'tabellsida' WHEN short >= 0.60 * body THEN 'blankett' WHEN columns >= 2 THEN 'löptext' ELSE 'annat' END AS class FROM b",
@@ -130,7 +130,7 @@ def page_class(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "p13_proposal_state",
+    "pf13_proposal_state",
     f"WITH {CURRENT} SELECT correction_id, CASE WHEN applied THEN 'applied' WHEN e.element_key IS NULL THEN 'no element' WHEN verdict IS NOT NULL OR adjudicated_by IS NOT NULL THEN 'judged' WHEN e.text IS NULL OR NOT contains(e.text, original) THEN 'overtaken' ELSE 'open' END AS state "
     "FROM corrections c LEFT JOIN e ON e.element_key = c.element_key WHERE original IS NOT NULL",
 )
@@ -141,13 +141,13 @@ def proposal_state(spark: SparkSession, d: str) -> DataFrame:
     return c.join(e, "element_key", "left").select("correction_id", state.alias("state"))
 
 
-@query("p14_correction_kind", "SELECT coalesce(kind, CASE WHEN starts_with(source, 'manuell') THEN 'emendering' ELSE 'ocr' END) AS kind, count(*) AS n, count(*) FILTER (applied) AS applied FROM corrections GROUP BY 1")
+@query("pf14_correction_kind", "SELECT coalesce(kind, CASE WHEN starts_with(source, 'manuell') THEN 'emendering' ELSE 'ocr' END) AS kind, count(*) AS n, count(*) FILTER (applied) AS applied FROM corrections GROUP BY 1")
 def correction_kind(spark: SparkSession, d: str) -> DataFrame:
     kind = F.coalesce("kind", F.when(F.startswith("source", F.lit("manuell")), "emendering").otherwise("ocr"))
     return table(spark, d, "corrections").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.count_if("applied").alias("applied"))
 
 
-@query("p12_overtaken", f"WITH {CURRENT} SELECT correction_id FROM corrections c JOIN e USING (element_key) WHERE corrected IS NOT NULL AND e.text IS NOT NULL AND original IS NOT NULL AND original <> '' AND contains(e.text, corrected) AND NOT contains(e.text, original)")
+@query("pf12_overtaken", f"WITH {CURRENT} SELECT correction_id FROM corrections c JOIN e USING (element_key) WHERE corrected IS NOT NULL AND e.text IS NOT NULL AND original IS NOT NULL AND original <> '' AND contains(e.text, corrected) AND NOT contains(e.text, original)")
 def overtaken(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "corrections").select("correction_id", "element_key", "original", "corrected")
     e = current(spark, d, "text").select("element_key", F.col("text").alias("now"))

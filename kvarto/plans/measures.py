@@ -113,7 +113,7 @@ def column_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "p09_row_prose",
+    "pf09_row_prose",
     f"WITH {CURRENT}, s AS (SELECT book, page, list_sort(list(w)) AS v, median(w) AS middle FROM e WHERE w IS NOT NULL AND type NOT IN ('page_artifact', 'illustration') GROUP BY 1, 2) SELECT book, page, round(middle - 0.7 * v[(round_even(0.9 * (len(v) - 1), 0) + 1)::INT], 9) >= 0 AS row_prose FROM s",
 )
 def row_prose(spark: SparkSession, d: str) -> DataFrame:
@@ -122,7 +122,7 @@ def row_prose(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "p20_band_flags",
+    "pf20_band_flags",
     f"WITH {CURRENT}, m AS (SELECT *, median(x) OVER r AS left_edge, median(h) OVER r AS height FROM e WHERE x IS NOT NULL AND region IS NOT NULL WINDOW r AS (PARTITION BY book, page, region)), f AS (SELECT book, page, region, list_sort(list(w)) AS v FROM e WHERE x IS NOT NULL AND region IS NOT NULL GROUP BY 1, 2, 3) "
     "SELECT element_key, round(x - left_edge - 0.045, 9) <= 0 AND round(x + w - left_edge - v[least(floor(0.85 * len(v)) + 1, len(v))::INT] - 0.02, 9) <= 0 AS trusted, round(x - left_edge, 9) BETWEEN 0.010 AND 0.045 AS indented, round(h - 1.25 * height, 9) >= 0 AS heading FROM m JOIN f USING (book, page, region)",
 )
