@@ -31,7 +31,24 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
     return difference_values(table(spark, d, "bok"), table(spark, d, "bok_copy"), "element_key", FIELDS, "updated_at", ("only_bok", "only_copy"))
 
 
-@query("p4_found")
+def _entries(value: str) -> str:
+    """SQL: a JSON array as a list, a lone object as a list of one, anything else as none."""
+    return f"CASE json_type({value}) WHEN 'ARRAY' THEN CAST({value} AS JSON[]) WHEN 'OBJECT' THEN [{value}] END"
+
+
+_NESTED = f"""WITH v AS (SELECT raw_id, coalesce(CAST(payload AS JSON)->'$.pages', CAST(payload AS JSON)->'$.bok.pages') AS pages FROM bok_raw WHERE json_valid(payload)),
+p AS (SELECT raw_id, generate_subscripts(l, 1) - 1 AS page_pos, unnest(l) AS page FROM (SELECT raw_id, {_entries('pages')} AS l FROM v)),
+e AS (SELECT raw_id, page_pos, generate_subscripts(l, 1) - 1 AS element_pos, unnest(l) AS element FROM (SELECT raw_id, page_pos, {_entries("(page->'$.elements')")} AS l FROM p WHERE json_type(page) = 'OBJECT')),
+o AS (SELECT * FROM e WHERE json_type(element) = 'OBJECT'),
+c AS (SELECT raw_id, page_pos, element_pos, 'correction' AS child, generate_subscripts(l, 1) - 1 AS child_pos, unnest(l) AS value FROM (SELECT *, {_entries("(element->'$.corrections')")} AS l FROM o)
+UNION ALL SELECT raw_id, page_pos, element_pos, 'row', generate_subscripts(l, 1) - 1, unnest(l) FROM (SELECT *, {_entries("(element->'$.rows')")} AS l FROM o)
+UNION ALL SELECT raw_id, page_pos, element_pos, 'row', generate_subscripts(l, 1) - 1, unnest(l) FROM (SELECT *, {_entries("(element->'$.data.rows')")} AS l FROM o)
+UNION ALL SELECT raw_id, page_pos, element_pos, 'row', generate_subscripts(l, 1) - 1, unnest(l) FROM (SELECT *, {_entries("(element->'$.data.table.rows')")} AS l FROM o))
+SELECT raw_id, page_pos::INT AS page_pos, element_pos::INT AS element_pos, 'element' AS child, -1 AS child_pos FROM o
+UNION ALL SELECT raw_id, page_pos::INT, element_pos::INT, child, child_pos::INT FROM c WHERE json_type(value) = 'OBJECT' OR child = 'row' AND json_type(value) = 'ARRAY'"""
+
+
+@query("p4_found", _NESTED)
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     nodes = linked_nodes(labelled_nodes(table(spark, d, "bok_raw"), "raw_id", "payload"))
     element = F.col("kind") == "element"
