@@ -60,7 +60,11 @@ def _p5(spark: SparkSession, d: str) -> DataFrame:
     return normalise(bok, "row_id", {"text": F.array("text"), "rows": cells}, corpus, "all_text")
 
 
-@query("p5_found")
+#: the characters alone, as an exact check of the cases; a mixed word has two neighbouring letters of different alphabets
+_ODD_SQL = r"[\p{Mn}\p{Me}\p{Cf}\x{FF01}-\x{FFEF}]|[\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]|\p{Latin}[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Hebrew}]|[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Hebrew}]\p{Latin}"
+
+
+@query("p5_found", f"SELECT row_id, 'text' AS field FROM bok WHERE regexp_matches(text, '{_ODD_SQL}') UNION ALL SELECT DISTINCT row_id, 'rows' FROM (SELECT row_id, unnest(flatten(list_filter(rows, lambda r: r IS NOT NULL))) AS cell FROM bok WHERE rows IS NOT NULL) WHERE regexp_matches(cell, '{_ODD_SQL}')")
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return _p5(spark, d).select(F.col("id").alias("row_id"), "field")
 
