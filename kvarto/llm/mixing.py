@@ -71,10 +71,10 @@ def _global(every: DataFrame, scale: float, buckets: int) -> DataFrame:
 
 
 def supply_report(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, last_finish, short): `short` sources have used up all they may give before the budget's virtual time."""
+    """(source, target_share, last_finish, short): `short` sources have used up all they may give before the budget's virtual time; a target of nothing is always reached."""
     every, total = uses(docs.withColumn("tokens", F.coalesce("tokens", F.lit(0))), targets)
     last = every.groupBy("source").agg(F.max("finish").alias("last_finish"))
-    return targets.select("source", "target_share").join(last, "source", "left").withColumn("short", F.coalesce(F.col("last_finish"), F.lit(0.0)) < F.lit(float(total)))
+    return targets.select("source", "target_share").join(last, "source", "left").withColumn("short", (F.col("target_share") > 0) & (F.coalesce(F.col("last_finish"), F.lit(0.0)) < F.lit(float(total))))
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, budget: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from kvarto.llm.mixing import mix, mix_report, supply_report
 def test_shares_caps_and_report(spark):
     docs = [(i, "a", 10) for i in range(100)] + [(1000 + i, "b", 5) for i in range(20)] + [(2000, None, 50), (3000, "x", 10), (4000, "b", None)]
     df = spark.createDataFrame(docs, "id long, source string, tokens long")
-    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.3, 2), ("c", 0.2, 3)], "source string, target_share double, max_uses int")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.3, 2), ("c", 0.2, 3), ("d", 0.0, 3)], "source string, target_share double, max_uses int")
     mixed = mix(df, targets, bucket_rows=7).collect()
     # 1,100 tokens in targeted sources: b can give 200 of its 330, c nothing
     assert sum(r["tokens"] for r in mixed) <= 1100 < sum(r["tokens"] for r in mixed) + 11
@@ -14,7 +14,7 @@ def test_shares_caps_and_report(spark):
     assert max(uses.values()) <= 2 and all(r["source"] in "ab" for r in mixed)
     assert sum(r["tokens"] for r in mixed if r["source"] == "b") == 200
     short = {r["source"]: r["short"] for r in supply_report(df, targets).collect()}
-    assert short == {"a": False, "b": True, "c": True}
+    assert short == {"a": False, "b": True, "c": True, "d": False}
     report = {r["source"]: r for r in mix_report(df, targets).collect()}
     assert report["c"]["uses"] == 0 and abs(sum(r["actual_share"] for r in report.values()) - 1) < 1e-9
 
