@@ -37,6 +37,38 @@ def stitch(tables: DataFrame, key: str) -> DataFrame:
     return joined.select(F.col("p")[0]["key"].alias("head"), F.size("p").alias("parts"), F.flatten(F.transform("p", lambda x: F.coalesce(x["rows"], F.array().cast("array<array<string>>")))).alias("rows"))
 
 
+def with_list(rows: Column, items: Column) -> Column:
+    """Rows of a two-column table with a list after it folded in; null if anything doesn't fit.
+
+    Each item is `key — value`; a first item that begins with a small letter continues the last cell. Empty lists change nothing.
+    """
+    items = F.coalesce(items, F.array().cast("array<string>"))
+    first, last = F.get(items, F.lit(0)), F.get(rows, F.size(rows) - 1)
+    goes_on = F.coalesce(first.rlike(r"^\p{Ll}") & ~F.contains(first, F.lit(" — ")), F.lit(False))
+    rest = F.when(goes_on, F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(1)))).otherwise(items)
+    pairs = F.transform(rest, lambda x: F.split(x, " — ", 2))
+    fits = (F.size(rows) > 0) & F.forall(rows, lambda r: F.size(r) == 2) & F.coalesce(F.forall(pairs, lambda p: F.size(p) == 2), F.lit(False))
+    longer = F.array(F.get(last, F.lit(0)), F.concat_ws(" ", F.get(last, F.lit(1)), first))
+    head = F.when(goes_on, F.concat(F.slice(rows, 1, F.size(rows) - 1), F.array(longer))).otherwise(rows)
+    return F.when(fits, F.concat(head, pairs))
+
+
+def continued_blocks(elements: DataFrame) -> DataFrame:
+    """(head, tail) of statblocks cut by a page break: the last element of a page has a name but no values, the first of the next begins with values.
+
+    Needs book, page, idx, element_key, type, text; page artifacts and removed elements are passed over.
+    """
+    kept = elements.filter("type <> 'page_artifact' AND NOT coalesce(removed, false)")
+    at = F.struct("idx", "element_key")
+    what = F.struct("element_key", "type", "text")
+    pages = kept.groupBy("book", "page").agg(F.max_by(what, at).alias("last"), F.min_by(what, at).alias("first"))
+    w = Window.partitionBy("book").orderBy("page")
+    joined = pages.withColumns({"next_page": F.lead("page").over(w), "next": F.lead("first").over(w)}).filter("next_page = page + 1")
+    values = r"\b\p{Lu}{3}\s+\d"
+    cut = (F.col("last.type") == "statblock") & ~F.col("last.text").rlike(values) & (F.col("next.type") == "statblock") & F.col("next.text").rlike("^" + values)
+    return joined.filter(cut).select(F.col("last.element_key").alias("head"), F.col("next.element_key").alias("tail"))
+
+
 def markdown(headers: Column, rows: Column) -> Column:
     """A table as markdown; pipes are escaped, null cells are empty; without headers each row is a list item."""
     cell = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|"))

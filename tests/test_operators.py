@@ -10,7 +10,7 @@ from kvarto.operators.render import page_markdown, unwrapped
 from kvarto.operators.rules import scan
 from kvarto.operators.sequences import anchor_bands, gap_clusters, runs
 from kvarto.operators.statistics import floored, nearest, order_statistics
-from kvarto.operators.tables import assemble, csv_lines, markdown, stitch
+from kvarto.operators.tables import assemble, continued_blocks, csv_lines, markdown, stitch, with_list
 from kvarto.operators.versions import MERGE_ORDER, best_stage, newest
 
 ELEMENT = "element_key long, book string, page int, idx int, type string, level int, text string, headers array<string>, rows array<array<string>>, items array<string>, removed boolean, bands array<int>, x double, y double, w double, h double, id string, confidence double, needs_review boolean"
@@ -133,3 +133,12 @@ def test_render(spark):
     assert one(spark, "en kråks-\npejare\nhär\n\nny SL-\nPerson", unwrapped) == "en kråkspejare här\n\nny SL- Person"
     e = element(spark, {"type": "heading", "level": 9, "text": "H"}, {"text": "a\nb", "idx": 2}, {"type": "page_artifact", "text": "7", "idx": 1}, {"type": "list", "items": ["x"], "idx": 3}, {"text": "bort", "removed": True})
     assert page_markdown(e).first()["markdown"] == "<!-- sida 1 -->\n\n###### H\n\na b\n\n- x"
+
+
+def test_lists_and_blocks_that_go_on(spark):
+    cases = [([["a", "b"]], ["c — d", "e — f — g"], [["a", "b"], ["c", "d"], ["e", "f — g"]]), ([["a", "b"]], ["och mer", "c — d"], [["a", "b och mer"], ["c", "d"]]), ([["a", "b"]], ["slut"], [["a", "b slut"]]),
+             ([["a", "b"]], ["Nej"], None), ([["a"]], ["c — d"], None), ([], ["c — d"], None), ([["a", "b"]], [], [["a", "b"]]), ([["a", "b"]], ["c — d", None], None)]
+    df = spark.createDataFrame([(i, r, t) for i, (r, t, _) in enumerate(cases)], "i int, rows array<array<string>>, items array<string>")
+    assert [x[1] for x in sorted(df.select("i", with_list(F.col("rows"), F.col("items"))).collect())] == [c[2] for c in cases]
+    e = element(spark, {"type": "statblock", "text": "Moror, varg", "page": 1}, {"type": "page_artifact", "text": "1", "page": 1, "idx": 9}, {"type": "statblock", "text": "STY 6  STO 5", "page": 2}, {"type": "statblock", "text": "Osil\nSTY 3", "page": 2, "idx": 8}, {"type": "statblock", "text": "STY 3", "page": 3})
+    assert [tuple(r) for r in continued_blocks(e).collect()] == [(0, 2)]
