@@ -26,14 +26,14 @@ def running(df: DataFrame, groups: list[str], key: Column, buckets: int, order:
 def uses(docs: DataFrame, targets: DataFrame, seed: int = 7, bucket_rows: int = 100_000, limit_sources: int = 100_000) -> tuple[DataFrame, int]:
     """Every allowed use (id, source, tokens, use, finish) of documents (id, source, tokens), and all tokens of targeted sources.
 
-    targets is (source, target_share, max_uses). The shuffled order differs from use to use.
+    targets is (source, target_share, max_uses). The shuffled order differs from use to use. Other columns of docs are ignored; null sizes count as 0.
     """
     plan = bounded_rows(targets.filter("source IS NOT NULL").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_uses").alias("max_uses")), limit_sources)
     if plan is None:
         raise ValueError(f"more than {limit_sources} sources to mix")
     spark = docs.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(r["source"], float(r["target_share"] or 0), int(r["max_uses"] or 0)) for r in plan], "source string, share double, max_uses int"))
-    own = docs.join(wanted, "source")
+    own = docs.select("id", "source", F.coalesce("tokens", F.lit(0)).alias("tokens")).join(wanted, "source")
     totals = own.groupBy("source").agg(F.sum("tokens").alias("source_tokens"), F.count("*").alias("n")).collect()  # at most one row for each source
     total, rows = sum(r["source_tokens"] or 0 for r in totals), sum(r["n"] for r in totals)
     sizes = F.broadcast(spark.createDataFrame([(r["source"], int(r["source_tokens"] or 0)) for r in totals], "source string, source_tokens long"))
@@ -51,7 +51,7 @@ def mix(docs: DataFrame, targets: DataFrame, budget: int | None = None, seed: in
     Cases: sources not in the targets, and null ones, take no part; targets without documents yield nothing; null sizes
     count as 0; equal finish times are ordered by hash and id; the use that would pass the budget ends the mix.
     """
-    every, total = uses(docs.withColumn("tokens", F.coalesce("tokens", F.lit(0))), targets, seed, bucket_rows)
+    every, total = uses(docs, targets, seed, bucket_rows)
     budget = total if budget is None else budget
     last, rows = every.agg(F.max("finish"), F.count("*")).first()
     if not rows:
@@ -72,7 +72,7 @@ def _global(every: DataFrame, scale: float, buckets: int) -> DataFrame:
 
 def supply_report(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, last_finish, short): `short` sources have used up all they may give before the budget's virtual time; a target of nothing is always reached."""
-    every, total = uses(docs.withColumn("tokens", F.coalesce("tokens", F.lit(0))), targets)
+    every, total = uses(docs, targets)
     last = every.groupBy("source").agg(F.max("finish").alias("last_finish"))
     return targets.select("source", "target_share").join(last, "source", "left").withColumn("short", (F.col("target_share") > 0) & (F.coalesce(F.col("last_finish"), F.lit(0.0)) < F.lit(float(total))))
 

@@ -5,7 +5,7 @@ from kvarto.llm.mixing import mix, mix_report, supply_report
 
 def test_shares_caps_and_report(spark):
     docs = [(i, "a", 10) for i in range(100)] + [(1000 + i, "b", 5) for i in range(20)] + [(2000, None, 50), (3000, "x", 10), (4000, "b", None)]
-    df = spark.createDataFrame(docs, "id long, source string, tokens long")
+    df = spark.createDataFrame(docs, "id long, source string, tokens long").selectExpr("*", "1 AS share", "2 AS use", "3 AS hash", "4 AS finish")
     targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.3, 2), ("c", 0.2, 3), ("d", 0.0, 3)], "source string, target_share double, max_uses int")
     mixed = mix(df, targets, bucket_rows=7).collect()
     # 1,100 tokens in targeted sources: b can give 200 of its 330, c nothing
