@@ -134,13 +134,16 @@ def _p2(spark: SparkSession, d: str, only_noisy: bool) -> DataFrame:
     bok, corrections = table(spark, d, "bok"), table(spark, d, "corrections")
     running = bok.filter(F.col("type").isin("paragraph", "boxed_text"))
     part = lambda df, field, ident: df.select(F.lit(field).alias("field"), F.col(ident).alias("rec_id"), "book", "page", F.col(field).alias("text"))
-    texts = part(running, "text", "row_id").unionByName(part(corrections, "original", "correction_id")).unionByName(part(corrections, "corrected", "correction_id"))
+    both = lambda c: part(c, "original", "correction_id").unionByName(part(c, "corrected", "correction_id"))
+    texts = part(running, "text", "row_id").unionByName(both(corrections))
+    # few bytes but much to look up in each: corrections are spread over all cores for the repair
+    spread = part(running, "text", "row_id").unionByName(both(corrections).repartition(4 * spark.sparkContext.defaultParallelism))
     common = common_set(spark, d)
     lexicon, prefixes = lexicon_words(spark, d)
     model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
     headers = book_headers(bok.filter("type = 'page_artifact'"), table(spark, d, "books"), bok.filter("type = 'heading' AND level <= 2"))
     counts = checkpointed(word_counts(texts, "text"))
-    return repair_texts(texts, counts, headers, lexicon, prefixes, skip=NotProse(model, common), only_noisy=only_noisy)
+    return repair_texts(spread, counts, headers, lexicon, prefixes, skip=NotProse(model, common), only_noisy=only_noisy)
 
 
 @query("p2_found")
