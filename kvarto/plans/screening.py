@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from kvarto.functions.text import artifact_key, as_int, core, leading_int, name_key, normalise, slug, tokens, without_leaders
 from kvarto.operators.bags import bag_difference, unexplained, word_bag
+from kvarto.operators.pages import page_findings
 from kvarto.operators.render import canonical_pages, page_markdown, unwrapped
-from kvarto.operators.rules import scan
+from kvarto.operators.rules import RULES, scan
 from kvarto.operators.tables import assemble, cells, csv_lines, markdown, stitch
 from kvarto.plans import query
 from kvarto.plans.choices import _FOLD, _NAME
@@ -43,6 +44,18 @@ def rule_counts(spark: SparkSession, d: str) -> DataFrame:
     return scan(current(spark, d)).groupBy("rule", "kind").agg(F.count("*").alias("findings"), F.count_distinct("element_key").alias("elements"))
 
 
+#: judged by page_findings with the page's class and the exemptions
+_BY_PAGE = ("column-merge", "box-miscoupling", "shifted-chain")
+
+
+@query("r16_page_findings")
+def whole_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Text rules and page rules together; the test tables hold no images or band kinds, so the rules on those say nothing here."""
+    e = current(spark, d)
+    texts = scan(e, [r for r in RULES if r.name not in _BY_PAGE])
+    return texts.unionByName(page_findings(e).drop("book", "page"))
+
+
 _TOKENS = "unnest(string_split(trim(regexp_replace({}, '[ \\t\\r\\n]+', ' ', 'g')), ' '))"
 _REAL = "word <> '' AND NOT regexp_matches(word, '^(-+|•)$')"
 
