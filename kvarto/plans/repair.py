@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kvarto.operators import corrections as records
-from kvarto.operators.alignment import bind_pages
 from kvarto.operators.bags import word_bag
+from kvarto.operators.binding import bind_elements
 from kvarto.operators.dice import repair
 from kvarto.operators.grids import table_blocks
 from kvarto.operators.images import measure_images
 from kvarto.operators.regions import column_count, column_references, normalised
 from kvarto.operators.statistics import floored, order_statistics
+from kvarto.operators.versions import newest
 from kvarto.plans import query
 from kvarto.plans.elements import CURRENT, current
 from kvarto.plans.screening import _REAL, _TOKENS
@@ -194,9 +195,20 @@ def payload_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d01_bound_texts")
 def bound_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Texts of each page's part bound to its boxes as rows; how sure each binding is."""
-    e = current(spark, d, "book", "page", "idx", "region", "text", "y", "w").filter("region IS NOT NULL")
-    return bind_pages(e.select("book", "page", "region", "idx", F.col("element_key").alias("id"), "text"), e.filter("y IS NOT NULL").select("book", "page", "region", "y", "w"), ["book", "page", "region"], 120.0)
+    """Elements of each page bound to its boxes as rows, with the book's own scale; only what is proved, and how sure it is.
+
+    Texts are reduced to their lengths and marks before anything is shuffled; what has no text counts its nested data.
+    """
+    box = lambda i: F.try_element_at("source.bbox", F.lit(i))
+    inner = lambda c, key: F.when(F.col(c).isNotNull(), F.aggregate(F.col(c), F.lit(len(key)), lambda n, x: n + F.coalesce(F.length(x), F.lit(0)))).otherwise(0)
+    cells = F.when(F.col("rows").isNotNull(), F.aggregate(F.flatten(F.filter("rows", lambda r: r.isNotNull())), F.lit(4), lambda n, x: n + F.coalesce(F.length(x), F.lit(0)))).otherwise(0)
+    chars = F.when(F.length("text") > 0, F.length("text")).otherwise(inner("headers", "headers") + cells + inner("items", "items"))
+    hyphen = F.coalesce(F.col("text").endswith("-") & ~F.col("text").endswith("--"), F.lit(False))
+    bok = table(spark, d, "bok").select(
+        "row_id", "element_key", "updated_at", "book", "page", "idx", "type", F.col("source.region").alias("region"), *[box(i).alias(c) for i, c in enumerate("xywh", 1)], chars.alias("chars"), hyphen.alias("hyphen"),
+        F.coalesce(F.col("text").rlike(r"^\s*\p{Ll}"), F.lit(False)).alias("small"), F.coalesce(F.size("source.rader"), F.lit(0)).alias("bands"), F.coalesce("removed", F.lit(False)).alias("removed"),
+    )
+    return bind_elements(newest(bok, ["element_key"], "updated_at", "row_id").withColumnRenamed("element_key", "id"))
 
 
 @query("w05_table_blocks")
