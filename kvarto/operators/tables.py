@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_VALUES = re.compile(r"\b[A-ZÅÄÖ]{3}\s+\d")
+_FIELD = re.compile(r"^([^:\n]{2,40}):\s*(.+)$")
+#: labels that any book's statblocks may use
+_LABELS = ("Färdigheter", "Färdigheter & Förmågor")
+
 
 def cells(tables: DataFrame, key: str) -> DataFrame:
     """(key, row, col, header, text) of every cell; ragged rows give what they hold, a missing header is null."""
@@ -69,6 +78,72 @@ def continued_blocks(elements: DataFrame) -> DataFrame:
     return joined.filter(cut).select(F.col("last.element_key").alias("head"), F.col("next.element_key").alias("tail"))
 
 
+def _bare(name: str) -> str:
+    return re.sub(r"[ .,:;!?—–-]", "", name.casefold())
+
+
+def join_block(head: str, after: list[tuple[str, str | None]], labels: set[str]) -> tuple[str, int, str] | None:
+    """(kind, number of elements taken, text) of a statblock with what goes on with it among (type, text) of the next page's beginning.
+
+    'values': a block without values and one with them and the same name or none; its name isn't repeated. 'fields': paragraphs
+    of lines `label: value` with the book's labels; a line without a label goes on with the value before it. A paragraph with
+    anything else, or with a field that the block has, ends it.
+    """
+    if after and after[0][0] == "statblock" and not _VALUES.search(head) and _VALUES.search(after[0][1] or ""):
+        name, _, rest = after[0][1].strip().partition("\n")
+        if _VALUES.match(name):
+            return "values", 1, head + "\n" + after[0][1].strip()
+        return ("values", 1, head + "\n" + rest.strip()) if _bare(name) == _bare(head.strip().split("\n")[0]) else None
+    have = {m[1].strip() for m in map(_FIELD.match, head.split("\n")) if m}
+    taken, out = 0, head
+    for kind, text in after:
+        fields: list[list[str]] = []
+        lines = [t.strip() for t in (text or "").split("\n") if t.strip()] if kind == "paragraph" else []
+        for line in lines:
+            m = _FIELD.match(line)
+            label = m[1].strip() if m else None
+            if label in labels and label not in have:
+                have.add(label)
+                fields.append([label, m[2].strip()])
+            elif label in labels or not fields:
+                fields = []
+                break
+            else:
+                fields[-1][1] += " " + line
+        if not fields:
+            break
+        taken += 1
+        out += "".join(f"\n{label}: {value}" for label, value in fields)
+    return ("fields", taken, out) if taken else None
+
+
+def stitched_blocks(elements: DataFrame) -> DataFrame:
+    """(head, kind, tails, text) of statblocks that go on over a page break, with what follows joined in (see `join_block`).
+
+    Needs what `continued_blocks` does. A block's elements are the end of one page and the beginning of the next, so a page bounds them.
+    """
+    kept = elements.filter("type <> 'page_artifact' AND NOT coalesce(removed, false)").select("book", "page", "idx", "element_key", "type", "text")
+    last = kept.groupBy("book", "page").agg(F.max_by(F.struct("element_key", "type", "text"), F.struct("idx", "element_key")).alias("last")).filter("last.type = 'statblock' AND last.text IS NOT NULL")
+    heads = last.select("book", (F.col("page") + 1).cast("int").alias("page"), F.col("last.element_key").alias("head"), F.col("last.text").alias("head_text"))
+    after = kept.join(heads, ["book", "page"]).groupBy("book", "head", "head_text").agg(F.array_sort(F.collect_list(F.struct("idx", "element_key", "type", "text"))).alias("after"))
+    lines = kept.filter("type = 'statblock'").select("book", F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^([^:\n]{2,40}):[ \t]*\S"), 1)).alias("label"))
+    labels = lines.groupBy("book").agg(F.collect_set(F.trim("label")).alias("labels"))
+    key = elements.schema["element_key"].dataType.simpleString()
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for head, text, following, known in zip(batch["head"], batch["head_text"], batch["after"], batch["labels"]):
+                found = join_block(text, [(e["type"], e["text"]) for e in following], {*_LABELS, *(known if known is not None else ())})
+                if found:
+                    rows.append((head, found[0], [e["element_key"] for e in following[: found[1]]], found[2]))
+            yield pd.DataFrame(rows, columns=["head", "kind", "tails", "text"])
+
+    joined = after.join(labels, "book", "left").select("head", "head_text", "after", "labels").mapInPandas(join, f"head {key}, kind string, tails array<{key}>, text string")
+    taken = joined.filter("kind = 'values'").select(F.explode("tails").alias("head"))
+    return joined.join(taken, "head", "left_anti")
+
+
 def markdown(headers: Column, rows: Column) -> Column:
     """A table as markdown; pipes are escaped, null cells are empty; without headers each row is a list item."""
     cell = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|"))
