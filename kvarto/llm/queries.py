@@ -13,10 +13,10 @@ from kvarto.llm.lookalike import normalise
 from kvarto.llm.mixing import mix, mix_report, supply_report
 from kvarto.llm.packing import filling, pack, sized_once
 from kvarto.llm.quality import fit_model, forms_of, judge_texts, structured_texts, text_statistics, training_sample
-from kvarto.llm.scanned import book_headers, repair_texts, word_counts
+from kvarto.llm.scanned import learn, repair_texts
 from kvarto.llm.splitting import split_documents
 from kvarto.llm.tokens import with_tokens
-from kvarto.session import bounded_rows, broadcast_checked, checkpointed
+from kvarto.session import bounded_rows, broadcast_checked
 from kvarto.sources.tables import table
 
 QUERIES: dict = {}
@@ -141,9 +141,10 @@ def _p2(spark: SparkSession, d: str, only_noisy: bool) -> DataFrame:
     common = common_set(spark, d)
     lexicon, prefixes = lexicon_words(spark, d)
     model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
-    headers = book_headers(bok.filter("type = 'page_artifact'"), table(spark, d, "books"), bok.filter("type = 'heading' AND level <= 2"))
-    counts = checkpointed(word_counts(texts, "text"))
-    return repair_texts(spread, counts, headers, lexicon, prefixes, skip=NotProse(model, common), only_noisy=only_noisy)
+    noise = corrections.filter("kind IS NULL OR kind <> 'emendering'")
+    titles = table(spark, d, "books").select("book", F.col("title").alias("text"))
+    learnt = learn(texts, noise, bok.filter("type = 'page_artifact'"), titles, bok.filter("type = 'heading'"), lexicon, prefixes)
+    return repair_texts(spread, learnt, skip=NotProse(model, common), only_noisy=only_noisy)
 
 
 @query("p2_found")
