@@ -45,10 +45,10 @@ def label(value, kinds: Mapping[str, tuple[str | None, str, bool]], with_body: b
         holders[parent, field] = (kind, arrays)
     out: list[list] = []
     pre = post = 0
-    # a stack entry is (value, kind of the innermost record, record slot or -1, depth, leaving)
-    stack: list[tuple] = [(value, None, -1, 0, False)]
+    # a stack entry is (value, kind of the innermost record, record slot or -1, depth, leaving, (kind, arrays) if the entries of the value are records)
+    stack: list[tuple] = [(value, None, -1, 0, False, None)]
     while stack:
-        node, inside, slot, depth, leaving = stack.pop()
+        node, inside, slot, depth, leaving, held = stack.pop()
         if leaving:
             if slot >= 0:
                 out[slot][3] = post
@@ -60,30 +60,23 @@ def label(value, kinds: Mapping[str, tuple[str | None, str, bool]], with_body: b
         if not isinstance(node, (dict, list)):
             post += 1
             continue
-        stack.append((node, inside, slot, depth, True))
+        stack.append((node, inside, slot, depth, True, None))
         below: list[tuple] = []
         if isinstance(node, dict):
             for field, child in node.items():
                 got = holders.get((inside, field))
-                if got is None or not isinstance(child, (dict, list)):
-                    below.append((child, inside, -1, depth + 1, False))
-                    continue
-                kind, arrays = got
-                entries = child if isinstance(child, list) else [child]
-                if isinstance(child, list):
-                    pre_entries = []
-                    for pos, entry in enumerate(entries):
-                        if isinstance(entry, dict) or arrays and isinstance(entry, list):
-                            out.append([kind, pos, 0, 0, depth + 1, _body(entry, kinds, kind) if with_body else None])
-                            pre_entries.append((entry, kind, len(out) - 1, depth + 1, False))
-                        else:
-                            pre_entries.append((entry, inside, -1, depth + 1, False))
-                    below.extend(pre_entries)
+                if got is not None and isinstance(child, dict):
+                    out.append([got[0], 0, 0, 0, depth + 1, _body(child, kinds, got[0]) if with_body else None])
+                    below.append((child, got[0], len(out) - 1, depth + 1, False, None))
                 else:
-                    out.append([kind, 0, 0, 0, depth + 1, _body(child, kinds, kind) if with_body else None])
-                    below.append((child, kind, len(out) - 1, depth + 1, False))
+                    below.append((child, inside, -1, depth + 1, False, got if isinstance(child, list) else None))
         else:
-            below = [(child, inside, -1, depth + 1, False) for child in node]
+            for pos, entry in enumerate(node):
+                if held is not None and (isinstance(entry, dict) or held[1] and isinstance(entry, list)):
+                    out.append([held[0], pos, 0, 0, depth + 1, _body(entry, kinds, held[0]) if with_body else None])
+                    below.append((entry, held[0], len(out) - 1, depth + 1, False, None))
+                else:
+                    below.append((entry, inside, -1, depth + 1, False, None))
         stack.extend(reversed(below))
     return (tuple(x) for x in out)
 
@@ -99,12 +92,13 @@ def _body(record, kinds: Mapping, kind: str) -> str:
 def labelled_nodes(df: DataFrame, id_col: str, json_col: str, kinds: Mapping = BOOK_KINDS, with_body: bool = False) -> DataFrame:
     """Node table of all documents: id, doc, kind, pos, pre, post, depth, body.
 
-    `doc` numbers the input rows, so a repeated id stays two documents. Null, empty and damaged texts have no nodes; null
+    `doc` is a hash of the text, the same in every run; a repeated id with another text is another document. `linked_nodes`
+    numbers the copies of a row that is there more than once, so (id, doc, copy, pre) is the key of a record. Null, empty and damaged texts have no nodes; null
     entries of an array keep their position but aren't records; a lone object where an array is expected has position 0;
     records of unexpected type (a text where an object belongs) aren't records. Other columns are not read.
     """
     id_type = df.schema[id_col].dataType.simpleString()
-    numbered = df.select(F.monotonically_increasing_id().alias("doc"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{json_col}`").alias("text"))
+    numbered = df.select(F.xxhash64(F.col(f"`{json_col}`")).alias("doc"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{json_col}`").alias("text"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["id", "doc", "kind", "pos", "pre", "post", "depth", "body"]
@@ -145,15 +139,23 @@ def enclosing(kind: str, value: Column, over: Window) -> Column:
 
 
 def linked_nodes(nodes: DataFrame, kinds: Mapping = BOOK_KINDS) -> DataFrame:
-    """Each node with, for every kind that can enclose it, that record's `<kind>_pre` (its key within doc) and `<kind>_pos`."""
-    before = Window.partitionBy("doc").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
+    """Each node with its `copy` and, for every kind that can enclose it, that record's `<kind>_pre` (its key within the document) and `<kind>_pos`.
+
+    Copies of a document have the same intervals, so a node is linked by its place in pre-order whichever copy the enclosing
+    node is read from; one exchange by document serves the links and the numbers of the copies.
+    """
+    before = Window.partitionBy("id", "doc").orderBy("pre").rangeBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy("id", "doc", "pre").orderBy("pre")
     parents = dict.fromkeys(p for p, _, _ in kinds.values() if p)
-    return nodes.withColumns({f"{p}_{what}": enclosing(p, F.col(what), before) for p in parents for what in ("pre", "pos")})
+    return nodes.withColumns({f"{p}_{what}": enclosing(p, F.col(what), before) for p in parents for what in ("pre", "pos")}).withColumn("copy", F.row_number().over(same))
 
 
 def flat_table(nodes: DataFrame, kind: str, fields: Mapping[str, str], kinds: Mapping = BOOK_KINDS) -> DataFrame:
-    """The flat table of one kind: id, own position, the parent's key, and chosen JSON paths of the body as text columns."""
+    """The flat table of one kind: id, doc, copy, the record's key and position, its parent's key, and chosen JSON paths of the body as text columns.
+
+    (id, doc, copy, `<parent>_key`) is found in the parent's table as (id, doc, copy, `<kind>_key`), whichever run made either.
+    """
     parent = kinds[kind][0]
-    link = [F.col(f"{parent}_pre")] if parent else []
+    link = [F.col(f"{parent}_pre").alias(f"{parent}_key")] if parent else []
     rows = linked_nodes(nodes, kinds).filter(F.col("kind") == kind)
-    return rows.select("id", "doc", F.col("pre").alias(f"{kind}_key"), F.col("pos").alias(f"{kind}_position"), *link, *[F.get_json_object("body", path).alias(name) for name, path in fields.items()])
+    return rows.select("id", "doc", "copy", F.col("pre").alias(f"{kind}_key"), F.col("pos").alias(f"{kind}_position"), *link, *[F.get_json_object("body", path).alias(name) for name, path in fields.items()])

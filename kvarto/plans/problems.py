@@ -57,16 +57,50 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("p4_elements")
-def p4_elements(spark: SparkSession, d: str) -> DataFrame:
+_PAGE = r"^\$(\.bok)?\.pages(\[\d+\])?"
+_LAST_INDEX = r"\[(\d+)\]$"
+_ELEMENT = _PAGE + r"\.elements(\[\d+\])?"
+#: fields of each kind's table, by JSON path
+TABLES = {
+    "page": {"page": "$.page", "stage": "$.stage"},
+    "element": {"element_id": "$.id", "type": "$.type", "level": "$.level", "text": "$.text", "confidence": "$.confidence"},
+    "correction": {"original": "$.original", "corrected": "$.corrected", "kind": "$.kind", "verdict": "$.verdict"},
+    "row": {"first_cell": "$[0]"},
+}
+
+
+def _flat_sql(kind: str, own: str, parent: str | None, types: str) -> str:
+    """SQL of a flat table: nodes of the JSON tree numbered in pre-order, records and parents told by their paths."""
+    link = f", p.pre AS {parent[0]}_key" if parent else ""
+    join = f" JOIN t p ON p.raw_id = r.raw_id AND p.fullkey = regexp_extract(r.fullkey, '{parent[1]}')" if parent else ""
+    fields = "".join(f", r.node->>'{path}' AS {name}" for name, path in TABLES[kind].items())
+    tree = "SELECT raw_id, j.fullkey, j.type, j.value::JSON AS node, row_number() OVER (PARTITION BY raw_id ORDER BY j.id) - 1 AS pre FROM bok_raw, json_tree(CASE WHEN json_valid(payload) THEN payload END) j"
+    return f"WITH t AS ({tree}) SELECT r.raw_id, r.pre AS {kind}_key, coalesce(TRY_CAST(regexp_extract(r.fullkey, '{_LAST_INDEX}', 1) AS INT), 0) AS {kind}_position{link}{fields} FROM t r{join} WHERE regexp_matches(r.fullkey, '{own}$') AND ({types})"
+
+
+def _flat(spark: SparkSession, d: str, kind: str) -> DataFrame:
     nodes = labelled_nodes(table(spark, d, "bok_raw"), "raw_id", "payload", with_body=True)
-    return flat_table(nodes, "element", {"element_id": "$.id", "type": "$.type", "level": "$.level", "text": "$.text", "confidence": "$.confidence"})
+    return flat_table(nodes, kind, TABLES[kind]).withColumnRenamed("id", "raw_id").drop("doc", "copy")
+
+
+@query("p4_pages", _flat_sql("page", _PAGE, None, "r.type = 'OBJECT'"))
+def p4_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "page")
 
 
-@query("p4_corrections")
+@query("p4_elements", _flat_sql("element", _ELEMENT, ("page", _PAGE), "r.type = 'OBJECT'"))
+def p4_elements(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "element")
+
+
+@query("p4_corrections", _flat_sql("correction", _ELEMENT + r"\.corrections(\[\d+\])?", ("element", _ELEMENT), "r.type = 'OBJECT'"))
 def p4_corrections(spark: SparkSession, d: str) -> DataFrame:
-    nodes = labelled_nodes(table(spark, d, "bok_raw"), "raw_id", "payload", with_body=True)
-    return flat_table(nodes, "correction", {"original": "$.original", "corrected": "$.corrected", "kind": "$.kind", "verdict": "$.verdict"})
+    return _flat(spark, d, "correction")
+
+
+@query("p4_rows", _flat_sql("row", _ELEMENT + r"(\.data|\.data\.table)?\.rows(\[\d+\])?", ("element", _ELEMENT), "r.type = 'OBJECT' OR r.type = 'ARRAY' AND r.fullkey LIKE '%]'"))
+def p4_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "row")
 
 
 @query("p4_damaged", "SELECT raw_id AS id, CASE WHEN payload IS NULL THEN 'null' ELSE 'not JSON' END AS reason FROM bok_raw WHERE payload IS NULL OR NOT json_valid(payload)")

@@ -85,6 +85,6 @@ def test_tables_and_damage(spark):
     df = spark.createDataFrame([(1, json.dumps({"pages": [{"elements": [{"id": "é", "text": "a"}, {"id": 5}]}]})), (1, "{"), (2, None)], "raw_id long, payload string")
     nodes = labelled_nodes(df, "raw_id", "payload", with_body=True)
     got = flat_table(nodes, "element", {"element_id": "$.id", "text": "$.text"}).orderBy("element_position").collect()
-    assert [(r["element_id"], r["text"]) for r in got] == [("é", "a"), ("5", None)] and got[0]["page_pre"] == got[1]["page_pre"]
+    assert [(r["element_id"], r["text"]) for r in got] == [("é", "a"), ("5", None)] and got[0]["page_key"] == got[1]["page_key"]
     assert sorted((r["id"], r["reason"]) for r in damaged(df, "raw_id", "payload").collect()) == [(1, "not JSON"), (2, "null")]
     assert labelled_nodes(df.limit(0), "raw_id", "payload").count() == 0
