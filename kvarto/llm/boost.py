@@ -22,11 +22,13 @@ class BoostedTrees:
         self.scale, self.shift = 1.0, np.zeros(0)
 
     def fit(self, x: np.ndarray, y: np.ndarray, classes: int) -> BoostedTrees:
+        self.trees, self.shift = [], np.zeros(classes)
+        if not len(y):
+            return self
         weight = len(y) / (classes * np.maximum(1, np.bincount(y, minlength=classes)))[y]
         edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
         binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
         score = np.zeros((len(y), classes))
-        self.shift = np.zeros(classes)
         onehot = np.eye(classes)[y]
         for _ in range(self.rounds):
             p = _softmax(score)

@@ -1,22 +1,23 @@
 """One consistent form for text that looks alike and differs in its characters.
 
-Look-alike pairs (full-width and plain forms, composed letters and letter plus accent, spaces, invisible characters and
-nothing, letters of two alphabets) are joined by union-find into classes; the member most frequent in the corpus represents
-its class, and a multi-pattern automaton rewrites every other member, the longest first. Letters of another alphabet are
-rewritten only inside words that also hold Latin letters; words wholly in another alphabet stay.
+Look-alike pairs over all code points (full-width, mathematical and plain forms, composed letters and letter plus accent,
+spaces, invisible characters and nothing, letters of two alphabets) are joined by union-find into classes; the member most
+frequent in the corpus represents its class, and a multi-pattern automaton rewrites every other member, the longest first.
+Letters of another alphabet are rewritten only inside words that also hold Latin letters; words wholly in another alphabet
+stay. Which letters look alike comes from the public confusables data in the JVM's Unicode library, besides some fixed pairs;
+a letter that looks like no Latin one takes the first letter of its name.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterator, Mapping
 from functools import lru_cache
 
 import ahocorasick
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: fixed values: letters of the Cyrillic and Greek alphabets with the Latin letter of the same shape
@@ -28,6 +29,8 @@ LETTER_PAIRS = (
 ).split()
 #: Java pattern of texts that can hold a case at all; everything else never leaves the JVM
 SUSPECT = r"[\p{Mn}\p{Me}\p{Cf}＀-￯]|[\p{Zs}&&[^ ]]|[\p{L}&&[^\p{IsLatin}]]"
+#: blocks without look-alike forms: ideographs, syllables, private use and unassigned planes
+_PLAIN_BLOCKS = ((0x3400, 0xF900), (0x13000, 0x16800), (0x17000, 0x1B000), (0x20000, 0xE0000), (0xE0200, 0x110000))
 _UNSPACED = ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "BOPOMOFO", "MICRO", "FEMININE", "MASCULINE", "MODIFIER", "HALFWIDTH")
 
 
@@ -37,7 +40,7 @@ def kind_of(ch: str) -> str:
     code, cat = ord(ch), unicodedata.category(ch)
     if code < 128:
         return "latin" if ch.isalpha() else "plain"
-    if unicodedata.decomposition(ch).startswith(("<wide>", "<narrow>")):
+    if unicodedata.decomposition(ch).startswith(("<wide>", "<narrow>", "<font>")) and (cat[0] != "S" or code >= 0xFF00):
         return "space" if ch == "　" else "wide"
     if cat in ("Mn", "Me"):
         return "mark"
@@ -76,11 +79,23 @@ class Classes:
         return out
 
 
-def look_alikes() -> tuple[Classes, Classes]:
-    """Classes of forms that are always rewritten, and, built on them, classes that also join letters of different alphabets."""
+def code_points() -> Iterator[str]:
+    start = 0x80
+    for a, b in (*_PLAIN_BLOCKS, (0x110000, 0x110000)):
+        yield from map(chr, range(start, a))
+        start = b
+
+
+def look_alikes(shapes: Mapping[str, str] | None = None) -> tuple[Classes, Classes]:
+    """Classes of forms that are always rewritten, and, built on them, classes that also join letters of different alphabets.
+
+    `shapes` gives more letters of other alphabets with what they look like.
+    """
     always, letters = Classes(), Classes()
-    for code in range(0x10000):
-        ch = chr(code)
+    for ch in code_points():
+        cat, parts = unicodedata.category(ch), unicodedata.decomposition(ch)
+        if not parts and cat not in ("Cf", "Zs") and cat[0] != "L":
+            continue
         kind = kind_of(ch)
         if kind == "wide":
             always.union(ch, unicodedata.normalize("NFKC", ch))
@@ -88,46 +103,52 @@ def look_alikes() -> tuple[Classes, Classes]:
             always.union(ch, "")
         elif kind == "space":
             always.union(ch, " ")
-        elif kind in ("latin", "other") and 0x80 <= code < 0x2000:
-            parts = unicodedata.normalize("NFD", ch)
-            if len(parts) > 1 and unicodedata.normalize("NFC", ch) == ch:
-                always.union(ch, parts)
-                if len(parts) > 2:  # an accent upon a composed letter
-                    always.union(ch, unicodedata.normalize("NFC", parts[:-1]) + parts[-1])
+        elif kind in ("latin", "other") and parts and parts[0] != "<":
+            apart, composed = unicodedata.normalize("NFD", ch), unicodedata.normalize("NFC", ch)
+            always.union(ch, apart)
+            always.union(ch, composed)
+            if len(apart) > 2:  # an accent upon a composed letter
+                always.union(ch, unicodedata.normalize("NFC", apart[:-1]) + apart[-1])
     for x in list(always.parent):
         letters.union(x, always.find(x))
     for a, b in LETTER_PAIRS:
         letters.union(a, b)
+    fixed = {a for a, _ in LETTER_PAIRS}
+    for a, b in (shapes or {}).items():
+        if a not in fixed and len(b) == 1 and kind_of(b) == "latin" and kind_of(a) == "other":
+            letters.union(a, b)
     return always, letters
 
 
-def count_forms(texts: Iterable[str]) -> dict[str, int]:
-    """Occurrences of every character, and of every pair of a character and an accent on it."""
-    codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    found = np.bincount(codes[codes < 0x10000], minlength=1) if len(codes) else np.zeros(1, int)
-    out = {chr(i): int(found[i]) for i in np.flatnonzero(found)}
-    marks = np.array([ord(c) for c in out if kind_of(c) == "mark"], dtype=np.uint32)
-    if len(marks):
-        at = np.flatnonzero(np.isin(codes, marks))
-        for i in at[at > 0]:
-            pair = chr(codes[i - 1]) + chr(codes[i])
-            out[pair] = out.get(pair, 0) + 1
-    return out
+def confusable_shapes(spark: SparkSession) -> dict[str, str]:
+    """Letters of other alphabets with the letter of the same shape, by the confusables data of the JVM's Unicode library."""
+    others = [ch for ch in code_points() if unicodedata.category(ch)[0] == "L" and kind_of(ch) == "other"]
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    alike = checker.getSkeleton("\n".join(others)).split("\n")
+    return {a: b for a, b in zip(others, alike) if a != b}
 
 
-def corpus_forms(texts: DataFrame, column: str, wanted: set[str]) -> dict[str, int]:
-    """Occurrences of the wanted forms (their number bounds what reaches the driver) over all rows of a text column."""
+@lru_cache(maxsize=None)
+def by_name(ch: str) -> str:
+    """The first letter of a letter's name, as its Latin form."""
+    first = re.search(r"(?:LETTER|SIGN|SYLLABLE) (?:FINAL |YIDDISH |SHORT )?([A-Z])", unicodedata.name(ch, "")) or re.search(r"\b([A-Z])\w*$", unicodedata.name(ch, "X"))
+    return first[1] if ch.isupper() else first[1].lower()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, int] = {}
-        for batch in batches:
-            for form, n in count_forms(batch[column].dropna()).items():
-                if form in wanted:
-                    total[form] = total.get(form, 0) + n
-        yield pd.DataFrame({"form": list(total), "n": list(total.values())}).astype({"form": "string", "n": "int64"})
 
-    rows = texts.select(column).mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()
-    return {r["form"]: r["n"] for r in rows}
+def corpus_forms(texts: DataFrame, column: str, wanted: Collection[str]) -> dict[str, int]:
+    """Occurrences of the wanted forms, characters or pairs of a character and an accent (their number bounds what reaches the driver), over all rows of a text column.
+
+    Words are counted first, so that characters are only taken apart once for each distinct word.
+    """
+    spark = texts.sparkSession
+    words = texts.select(F.explode(F.split(F.col(f"`{column}`"), " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    forms = words.select("n", F.explode(F.flatten(F.array(F.regexp_extract_all("word", F.lit("(?s)."), F.lit(0)), F.regexp_extract_all("word", F.lit(r"(?s).\p{M}"), F.lit(0))))).alias("form"))
+    counted = forms.groupBy("form").agg(F.sum("n").alias("n"))
+    rows = counted.join(F.broadcast(spark.createDataFrame([(x,) for x in wanted], "form string")), "form", "left_semi").collect()
+    found = {r["form"]: r["n"] for r in rows}
+    if " " in wanted:  # words were split at them
+        found[" "] = texts.select(F.sum(F.length(F.col(f"`{column}`")) - F.length(F.replace(F.col(f"`{column}`"), F.lit(" "), F.lit(""))))).first()[0] or 0
+    return found
 
 
 def representatives(classes: Classes, counts: dict[str, int]) -> dict[str, str]:
@@ -178,14 +199,14 @@ class Rewriter:
             if not {"latin", "other"} <= found:
                 return w
             mixed = True
-            return "".join(self.letters.get(ch, ch) if kind_of(ch) == "other" else ch for ch in w)
+            return "".join(self.letters.get(ch) or by_name(ch) if kind_of(ch) == "other" else ch for ch in w)
 
         plain = re.sub(r"[^\W\d_]+", word, plain)
         return plain, sorted(kinds | ({"mixed"} if mixed else set()))
 
 
 def rewriter_for(texts: DataFrame, column: str) -> Rewriter:
-    always, letters = look_alikes()
+    always, letters = look_alikes(confusable_shapes(texts.sparkSession))
     counts = corpus_forms(texts, column, set(always.parent) | set(letters.parent))
     # a letter's class may hold several letters of its own alphabet; what it is rewritten to must be Latin
     to = {}
@@ -198,7 +219,7 @@ def rewriter_for(texts: DataFrame, column: str) -> Rewriter:
 
 
 def normalise(df: DataFrame, id_col: str, fields: dict[str, Column], corpus: DataFrame, corpus_col: str) -> DataFrame:
-    """(id, field, parts, plain, kinds) of each field that needs rewriting.
+    """(id, field, parts, plain, kinds) of each field that rewriting changes, with the kinds of characters that needed it.
 
     `fields` names array<string> columns (a plain text is an array of one). `corpus` gives the texts whose counts choose the
     representatives. Cases: null fields, null parts and empty texts need nothing; repeated ids give a row each; texts without
@@ -216,7 +237,7 @@ def normalise(df: DataFrame, id_col: str, fields: dict[str, Column], corpus: Dat
             for ident, field, parts in zip(batch["id"].astype(object), batch["field"], batch["parts"]):
                 done = [rewriter(p) if p is not None else (None, []) for p in parts]
                 kinds = sorted({k for _, ks in done for k in ks})
-                if kinds:
+                if any(p != part for (p, _), part in zip(done, parts)):
                     rows.append((None if pd.isna(ident) else ident, field, list(parts), [p for p, _ in done], kinds))
             yield pd.DataFrame(rows, columns=["id", "field", "parts", "plain", "kinds"])
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Collection, Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
@@ -110,21 +111,38 @@ def weak_label(s: dict[str, float]) -> str | None:
 
 
 def fit_model(sample: list[tuple[str, str | None]], common: Collection[str]) -> BoostedTrees:
-    """Trees fitted on (text, given label or None) and calibrated on the holdout; the holdout's rows are also the floor when labels are few."""
-    x, y = [], []
+    """Trees fitted on (text, given label or None) and calibrated on the holdout, whose texts take no part in the fitting.
+
+    A form without examples in the sample is never found.
+    """
+    x, y, kept = [], [], {t for _, t in HOLDOUT}
     for text, given in sample:
+        if text in kept:
+            continue
         stats = text_statistics(text, common)
         got = given or weak_label(dict(zip(STATS, stats)))
         if got:
             x.append(stats)
             y.append(FORMS.index(got))
-    held = np.array([text_statistics(t, common) for _, t in HOLDOUT])
-    truth = np.array([FORMS.index(f) for f, _ in HOLDOUT])
-    for i in range(len(FORMS)):  # a class without examples in a tiny table borrows from the holdout
-        if y.count(i) < 5:
-            x += [list(v) for v, t in zip(held, truth) if t == i]
-            y += [i] * int((truth == i).sum())
-    return BoostedTrees().fit(np.array(x), np.array(y), len(FORMS)).calibrate(held, truth)
+    return BoostedTrees().fit(np.array(x).reshape(-1, len(STATS)), np.array(y, dtype=int), len(FORMS)).calibrate(*held_out(common))
+
+
+def held_out(common: Collection[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and forms of the holdout."""
+    return np.array([text_statistics(t, common) for _, t in HOLDOUT]), np.array([FORMS.index(f) for f, _ in HOLDOUT])
+
+
+def calibration_report(model: BoostedTrees, common: Collection[str], seed: int = 11) -> list[tuple[int, int, float, float, float]]:
+    """(fold, texts, share right, mean probability of the verdict, their difference) of each half of the holdout, calibrated on the other half."""
+    x, y = held_out(common)
+    halves = np.random.default_rng(seed).permutation(len(y)) % 2
+    out = []
+    for fold in (0, 1):
+        test = halves == fold
+        p = copy(model).calibrate(x[~test], y[~test]).probabilities(x[test])
+        right, sure = float((p.argmax(1) == y[test]).mean()), float(p.max(1).mean())
+        out.append((fold, int(test.sum()), right, sure, abs(right - sure)))
+    return out
 
 
 def training_sample(texts: DataFrame, id_col: str, text_col: str, structured: dict[str, DataFrame], bound: int) -> list[tuple[str, str | None]]:

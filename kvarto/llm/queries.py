@@ -12,7 +12,7 @@ from kvarto.llm.canonical import map_to_reference
 from kvarto.llm.lookalike import normalise
 from kvarto.llm.mixing import mix, mix_report, supply_report
 from kvarto.llm.packing import filling, pack, sized_once
-from kvarto.llm.quality import fit_model, forms_of, judge_texts, structured_texts, text_statistics, training_sample
+from kvarto.llm.quality import calibration_report, fit_model, forms_of, judge_texts, structured_texts, text_statistics, training_sample
 from kvarto.llm.scanned import learn, repair_texts
 from kvarto.llm.splitting import split_documents
 from kvarto.llm.tokens import with_tokens
@@ -88,11 +88,16 @@ def common_set(spark: SparkSession, d: str) -> frozenset[str]:
     return frozenset(r["w"] for r in rows)
 
 
-def _p6(spark: SparkSession, d: str, with_stats: bool) -> DataFrame:
+def _model(spark: SparkSession, d: str):
+    """(running texts, common words, the classifier of p6)."""
     bok = table(spark, d, "bok")
     running = bok.filter(F.col("type").isin("paragraph", "boxed_text")).select("row_id", "text")
     common = common_set(spark, d)
-    model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
+    return running, common, fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
+
+
+def _p6(spark: SparkSession, d: str, with_stats: bool) -> DataFrame:
+    running, common, model = _model(spark, d)
     return judge_texts(running, "row_id", "text", model, common, with_stats).withColumnRenamed("id", "row_id")
 
 
@@ -101,6 +106,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, False).filter("form <> 'prose'").select("row_id", "form")
 
 
+@query("p6_calibration")
+def p6_calibration(spark: SparkSession, d: str) -> DataFrame:
+    _, common, model = _model(spark, d)
+    return spark.createDataFrame(calibration_report(model, common), "fold int, texts int, share_right double, mean_probability double, error double")
+
+
 @query("p6_statistics")
 def p6_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _p6(spark, d, True)
@@ -138,9 +149,8 @@ def _p2(spark: SparkSession, d: str, only_noisy: bool) -> DataFrame:
     texts = part(running, "text", "row_id").unionByName(both(corrections))
     # few bytes but much to look up in each: corrections are spread over all cores for the repair
     spread = part(running, "text", "row_id").unionByName(both(corrections).repartition(4 * spark.sparkContext.defaultParallelism))
-    common = common_set(spark, d)
     lexicon, prefixes = lexicon_words(spark, d)
-    model = fit_model(training_sample(running, "row_id", "text", structured_texts(F.col("items"), F.col("rows"), bok), P6_SAMPLE), common)
+    _, common, model = _model(spark, d)
     noise = corrections.filter("kind IS NULL OR kind <> 'emendering'")
     titles = table(spark, d, "books").select("book", F.col("title").alias("text"))
     learnt = learn(texts, noise, bok.filter("type = 'page_artifact'"), titles, bok.filter("type = 'heading'"), lexicon, prefixes)

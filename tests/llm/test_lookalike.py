@@ -3,7 +3,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from kvarto.llm.lookalike import Rewriter, count_forms, kind_of, look_alikes, normalise, representatives, rewriter_for
+from kvarto.llm.lookalike import Rewriter, corpus_forms, kind_of, look_alikes, normalise, representatives, rewriter_for
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +37,20 @@ def test_every_decomposed_letter_is_composed(rewriter):
         assert rewriter(unicodedata.normalize("NFD", ch))[0] == ch
 
 
-def test_counts():
-    assert count_forms(["aå", "🙂"])["å"] == 1 and count_forms([]) == {}
+def test_counts(spark):
+    df = spark.createDataFrame([("a\u030a å  ａa",), ("🙂a\u030a 𝐀",), (None,), ("",)], "t string").withColumns({"form": F.lit(1), "word": F.lit(2), "n": F.lit(3)})
+    assert corpus_forms(df, "t", {"å", "a\u030a", "ａ", "a", " ", "𝐀", "x"}) == {"å": 1, "a\u030a": 2, "ａ": 1, "a": 3, " ": 4, "𝐀": 1}
+    assert corpus_forms(df.limit(0), "t", {"a"}) == {}
     assert kind_of("е") == "other" and kind_of("e") == "latin" and kind_of("本") == "latin"
 
 
+@pytest.mark.parametrize("text, plain", [("svзrd", "svɜrd"), ("sօord", "soord"), ("bδk", "bẟk"), ("xλx", "xlx"), ("𝐇amn", "Hamn"), ("\u212bsen", "Åsen"), ("aשb", "asb")])
+def test_every_mixed_word_reaches_one_form(rewriter, text, plain):
+    assert rewriter(text)[0] == plain and rewriter(plain)[0] == plain
+
+
 def test_table(spark):
-    rows = [(1, "ｈej", [["a", None], None, ["ok"]]), (1, "ｈej", None), (2, None, [["b c"]]), (3, "", []), (4, "lång " * 20_000 + "​", None)]
+    rows = [(9, "hej hej hej", None), (1, "ｈej", [["a", None], None, ["ok"]]), (1, "ｈej", None), (2, None, [["b c"]]), (3, "", []), (4, "lång " * 20_000 + "​", None)]
     df = spark.createDataFrame(rows, "row_id long, text string, rows array<array<string>>").withColumns({"field": F.lit(1), "kinds": F.lit(2)})
     cells = F.flatten(F.filter("rows", lambda r: r.isNotNull()))
     got = normalise(df, "row_id", {"text": F.array("text"), "rows": cells}, df, "text").collect()

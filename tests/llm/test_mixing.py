@@ -1,6 +1,6 @@
 from collections import Counter
 
-from kvarto.llm.mixing import mix, mix_report, supply_report
+from kvarto.llm.mixing import horizon, mix, mix_report, supply_report
 
 
 def test_shares_caps_and_report(spark):
@@ -22,13 +22,13 @@ def test_shares_caps_and_report(spark):
 def test_every_prefix_keeps_the_shares(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2], 1 + i % 5) for i in range(2000)], "id long, source string, tokens long")
     targets = spark.createDataFrame([("a", 0.75, 5), ("b", 0.25, 5)], "source string, target_share double, max_uses int")
-    rows = sorted(mix(df, targets, budget=4000, bucket_rows=100).collect(), key=lambda r: r["finish"])
+    rows = sorted(mix(df, targets, budget=4000, bucket_rows=1500).collect(), key=lambda r: (r["finish"], r["id"], r["use"]))
     for cut in (200, 500, len(rows)):
         held = Counter()
         for r in rows[:cut]:
             held[r["source"]] += r["tokens"]
         assert abs(held["a"] / sum(held.values()) - 0.75) < 0.02
-    again = sorted(mix(df, targets, budget=4000, bucket_rows=13).collect(), key=lambda r: r["finish"])
+    again = sorted(mix(df, targets, budget=4000, bucket_rows=600).collect(), key=lambda r: (r["finish"], r["id"], r["use"]))
     assert [(r["id"], r["use"]) for r in rows] == [(r["id"], r["use"]) for r in again]
 
 
@@ -37,3 +37,10 @@ def test_empty(spark):
     targets = spark.createDataFrame([("a", 1.0, 2)], "source string, target_share double, max_uses int")
     assert mix(df, targets).count() == 0
     assert [r["source"] for r in supply_report(df, targets).filter("short").collect()] == []
+
+
+def test_horizon_follows_from_totals():
+    assert horizon([(0.5, 2, 100), (0.5, 2, 100)], 100) == 100
+    # b gives its 20 tokens by time 40, then a alone has to give the other 80
+    assert horizon([(0.5, 9, 100), (0.5, 1, 20)], 100) == 160
+    assert horizon([(0.5, 1, 10)], 100) == 20 and horizon([], 5) == 0 and horizon([(0.0, 1, 10)], 5) == 0

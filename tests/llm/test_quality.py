@@ -3,7 +3,9 @@ import pytest
 
 from kvarto.llm.boost import BoostedTrees
 from kvarto.llm.holdout import HOLDOUT
-from kvarto.llm.quality import FORMS, STATS, fit_model, forms_of, judge_texts, text_statistics, training_sample, weak_label
+from kvarto.llm.quality import FORMS, STATS, calibration_report, fit_model, forms_of, judge_texts, text_statistics, training_sample, weak_label
+
+from written import WRITTEN
 
 COMMON = frozenset("och i att det som en på är av för med till den har de inte om ett men var sig från kan när under där vid över två mer går igen innan måste".split())
 
@@ -36,8 +38,7 @@ def test_boosting_learns_and_is_deterministic():
 
 @pytest.fixture(scope="module")
 def model():
-    texts = [(t, None) for _, t in HOLDOUT]
-    return fit_model(texts * 3, COMMON)
+    return fit_model([(t, f) for f, t in WRITTEN] * 3, COMMON)
 
 
 def test_held_out_accuracy(model):
@@ -57,6 +58,22 @@ def test_held_out_accuracy(model):
     assert np.mean([g == f for g, (f, _) in zip(own, HOLDOUT)]) > 0.9
 
 
+def test_holdout_takes_no_part_in_fitting(model):
+    again = fit_model([(t, f) for f, t in WRITTEN] * 3 + [(t, "junk") for _, t in HOLDOUT], COMMON)
+    x = np.array([text_statistics(t, COMMON) for _, t in WRITTEN])
+    assert (again.scores(x) == model.scores(x)).all()
+    report = calibration_report(model, COMMON)
+    assert sum(r[1] for r in report) == len(HOLDOUT) and all(r[2] > 0.8 and r[4] < 0.2 for r in report)
+
+
+def test_a_form_without_examples_is_never_found():
+    none = fit_model([], COMMON)
+    assert none.probabilities(np.zeros((2, len(STATS)))).shape == (2, len(FORMS))
+    few = fit_model([(t, f) for f, t in WRITTEN if f != "junk"] * 3, COMMON)
+    got = forms_of(few, np.array([text_statistics(t, COMMON) for f, t in WRITTEN if f != "junk"]))
+    assert np.mean([g == f for g, f in zip(got, [f for f, _ in WRITTEN if f != "junk"])]) > 0.9
+
+
 def test_weak_labels_hold_for_the_hand_checked_texts():
     labels = [(f, weak_label(stats(t))) for f, t in HOLDOUT]
     assert all(w in (None, f) for f, w in labels) and sum(w is not None for _, w in labels) > 0.6 * len(labels)
