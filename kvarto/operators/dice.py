@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,13 @@ CODE = r"^(\d+)T(\d+)([+\-–]\d+)?$"
 MOST_READINGS = 400
 
 
+def shape() -> str:
+    """Java pattern of tokens that can be a dice code: figures, T and what recognition may make of them, perhaps with an addition."""
+    chars = "".join(re.escape(c) for c in dict.fromkeys([*"0123456789TtDd", *MISREAD]))
+    figures = "".join(re.escape(c) for c in dict.fromkeys([*"0123456789", *(k for k, v in MISREAD.items() if any(x.isdigit() for x in v))]))
+    return rf"^[{chars}]{{2,7}}([+\-–][{figures}]{{1,2}})?$"
+
+
 def _options(ch: Column) -> Column:
     table = F.create_map(*[x for k, v in MISREAD.items() for x in (F.lit(k), F.array(*[F.lit(c) for c in v]))])
     own = F.when(ch.rlike(r"[\d+\-–]"), F.array(ch)).when(ch.rlike("[TtDd]"), F.array(F.lit("T"))).otherwise(F.array().cast("array<string>"))

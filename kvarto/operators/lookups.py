@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kvarto.session import broadcast_checked
-
 
 def ambiguous_keys(df: DataFrame, key: str) -> DataFrame:
     """(key, n) of keys that more than one row has: the build side of a unique lookup must have none."""
@@ -24,10 +22,18 @@ def single_match(df: DataFrame, reference: DataFrame, key: str, keep: Sequence[s
 def range_lookup(df: DataFrame, value: Column, bands: DataFrame, low: str, high: str, keep: Sequence[str], max_bands: int = 10_000) -> DataFrame:
     """Adds the columns of the first band (least `low`) with low <= value <= high, null outside all.
 
-    Bands that don't overlap, as a rule table's, match one row at most; the bands are broadcast only up to a checked number.
+    Bands that don't overlap, as a rule table's, match one row at most. The bands are broadcast only up to a checked number;
+    more are cut into buckets about as wide as most bands and joined on the bucket.
     """
-    b = broadcast_checked(bands.select(F.col(low).alias("low__"), F.col(high).alias("high__"), *keep), max_bands)
-    return df.withColumn("value__", value).join(b, F.col("value__").between(F.col("low__"), F.col("high__")), "left").drop("value__", "low__", "high__")
+    b = bands.select(F.col(low).alias("low__"), F.col(high).alias("high__"), *keep)
+    df = df.withColumn("value__", value)
+    inside = F.col("value__").between(F.col("low__"), F.col("high__"))
+    if b.limit(max_bands + 1).count() <= max_bands:
+        return df.join(F.broadcast(b), inside, "left").drop("value__", "low__", "high__")
+    width = b.select(F.percentile_approx(F.col("high__") - F.col("low__"), 0.9)).first()[0] or 1
+    bucket = lambda c: F.floor(F.col(c) / F.lit(float(width)))
+    cut = b.filter("low__ <= high__").withColumn("bucket__", F.explode(F.sequence(bucket("low__"), bucket("high__"))))
+    return df.withColumn("at__", bucket("value__")).join(cut, (F.col("at__") == F.col("bucket__")) & inside, "left").drop("value__", "low__", "high__", "at__", "bucket__")
 
 
 def term_index(lexicon: DataFrame, term: Column, canonical: Column) -> DataFrame:

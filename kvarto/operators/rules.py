@@ -55,10 +55,14 @@ def straight_quotes(text: Column) -> Column:
     return F.when((F.col("type") != "illustration") & text.rlike("['\"]"), F.translate(text, "'\"", "’”"))
 
 
+#: fixed values: what recognition makes of ±0
+PLUS_MINUS_ZERO = ("t0", "T0", "I0", "i0", "l0", "*0", "+0", "|0", "±O", "±o")
+
+
 @rule("plus-minus", "proposal", carriers=True)
 def plus_minus(text: Column) -> Column:
     """What recognition makes of ±0."""
-    return F.when(text.rlike(r"^([tTIil*+|]0|±O)$"), "±0")
+    return F.when(text.isin(*PLUS_MINUS_ZERO), "±0")
 
 
 @rule("plus-minus-ambiguous", "flag", carriers=True)

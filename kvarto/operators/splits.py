@@ -11,9 +11,15 @@ INDENT, DEEPEST, RAGGED = 0.008, 0.035, 0.92
 
 
 def suffix(n: Column) -> Column:
-    """a, b, .. z, aa, ab, .. for 0, 1, .. (up to two letters)."""
-    letter = lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), i + 1, 1)
-    return F.when(n < 26, letter(n.cast("int"))).otherwise(F.concat(letter((F.floor(n / 26) - 1).cast("int")), letter((n % 26).cast("int"))))
+    """a, b, .. z, aa, .. zz, aaa, .. for 0, 1, .. (fourteen letters count all 64-bit numbers)."""
+    start = F.struct(n.cast("long").alias("left"), F.lit("").alias("text"))
+
+    def step(acc: Column, _: Column) -> Column:
+        letter = F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), (acc["left"] % 26 + 1).cast("int"), F.lit(1))
+        more = acc["left"] >= 0
+        return F.struct(F.when(more, F.floor(acc["left"] / 26) - 1).otherwise(F.lit(-1)).cast("long").alias("left"), F.when(more, F.concat(letter, acc["text"])).otherwise(acc["text"]).alias("text"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, step, lambda acc: acc["text"])
 
 
 def break_rows(rows: DataFrame, key: str) -> DataFrame:

@@ -221,9 +221,9 @@ def sample_texts(spark: SparkSession, d: str) -> DataFrame:
     return t.select("book", F.substring(F.array_join(F.transform("t", lambda x: x["text"]), "\n"), 1, 40_000).alias("sample"))
 
 
-@query("t05_longest_terms", "SELECT term, length(term) AS size FROM lexicon WHERE term IS NOT NULL ORDER BY size DESC, term LIMIT 25")
+@query("t05_longest_terms", "SELECT term, length(term) AS size FROM lexicon WHERE term IS NOT NULL")
 def longest_terms(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lexicon").filter("term IS NOT NULL").select("term", F.length("term").cast("long").alias("size")).orderBy(F.desc("size"), "term").limit(25)
+    return table(spark, d, "lexicon").filter("term IS NOT NULL").select("term", F.length("term").cast("long").alias("size")).orderBy(F.desc("size"), "term")
 
 
 @query("r30_text_gaps", f"WITH {CURRENT} SELECT type, count(*) AS n, count(*) FILTER (text IS NULL) AS without_text, count(*) FILTER (contains(text, chr(10))) AS several_lines, count(*) FILTER (regexp_matches(text, '\\s$|^\\s')) AS untrimmed FROM e GROUP BY 1")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kvarto.operators import corrections as records
 from kvarto.operators.bags import word_bag
 from kvarto.operators.binding import bind_elements
-from kvarto.operators.dice import repair
+from kvarto.operators.dice import repair, shape as dice_shape
 from kvarto.operators.grids import table_blocks
 from kvarto.operators.images import measure_images
 from kvarto.operators.regions import column_count, column_references, normalised
@@ -70,7 +70,7 @@ def shared_out(spark: SparkSession, d: str) -> DataFrame:
 @query("f14_dice_repairs")
 def dice_repairs(spark: SparkSession, d: str) -> DataFrame:
     """Status of every distinct token of the corrections that looks like a dice code, with its count."""
-    words = word_bag(table(spark, d, "corrections"), F.regexp_replace("original", r"[.,:;()\"]+(\s|$)", " ")).filter(F.col("word").rlike(r"^[0-9IlOoQSsBbGgZzTtDdA|+]{2,7}([+\-–][0-9IlOSB]{1,2})?$"))
+    words = word_bag(table(spark, d, "corrections"), F.regexp_replace("original", r"[.,:;()\"]+(\s|$)", " ")).filter(F.col("word").rlike(dice_shape()))
     return repair(words, "word").select("word", "n", "status", "repaired", "changes", "confidence")
 
 

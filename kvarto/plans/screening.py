@@ -12,6 +12,7 @@ from kvarto.operators.tables import assemble, cells, csv_lines, markdown, stitch
 from kvarto.plans import query
 from kvarto.plans.choices import _FOLD, _NAME
 from kvarto.plans.elements import CURRENT, current
+from kvarto.session import broadcast_checked
 from kvarto.sources.tables import table
 
 _SCAN_SQL = f"""WITH {CURRENT}, k AS (SELECT *, CASE WHEN type = 'paragraph' AND w > 0 AND length(text) > 0 AND bands IS NOT NULL THEN w * greatest(len(bands), 1) / length(text) END AS cw FROM e WHERE NOT coalesce(removed, false)),
@@ -22,7 +23,7 @@ UNION ALL SELECT element_key, type, 'item ' || (generate_subscripts(items, 1) -
 UNION ALL SELECT element_key, type, 'cell ' || i || '.' || (generate_subscripts(r, 1) - 1), unnest(r) FROM (SELECT element_key, type, unnest(rows) AS r, generate_subscripts(rows, 1) - 1 AS i FROM g WHERE rows IS NOT NULL) WHERE r IS NOT NULL),
 f AS (SELECT element_key, 'heading-dash' AS rule, 'proposal' AS kind, 'element' AS place, regexp_replace(text, '^[-–—•]\\s+|\\s+[-–—•]$', '', 'g') AS proposal FROM g WHERE type = 'heading' AND regexp_replace(text, '^[-–—•]\\s+|\\s+[-–—•]$', '', 'g') <> text AND regexp_matches(regexp_replace(text, '^[-–—•]\\s+|\\s+[-–—•]$', '', 'g'), '^[\\p{{Lu}}\\s]{{3,}}$')
 UNION ALL SELECT element_key, 'straight-quotes', 'proposal', place, translate(t, '''"', '’”') FROM c WHERE type <> 'illustration' AND regexp_matches(t, '[''"]')
-UNION ALL SELECT element_key, 'plus-minus', 'proposal', place, '±0' FROM c WHERE regexp_matches(t, '^([tTIil*+|]0|±O)$')
+UNION ALL SELECT element_key, 'plus-minus', 'proposal', place, '±0' FROM c WHERE t IN ('t0', 'T0', 'I0', 'i0', 'l0', '*0', '+0', '|0', '±O', '±o')
 UNION ALL SELECT element_key, 'plus-minus-ambiguous', 'flag', place, '' FROM c WHERE t = '10'
 UNION ALL SELECT element_key, 'plus-minus-signed', 'proposal', place, regexp_replace(t, '^±', '+') FROM c WHERE regexp_matches(t, '^±[1-9]\\d*$')
 UNION ALL SELECT element_key, 'dot-leaders', 'flag', place, '' FROM c WHERE regexp_matches(t, '\\.{{4,}}')
@@ -100,8 +101,9 @@ def top_words(spark: SparkSession, d: str) -> DataFrame:
 )
 def language_scores(spark: SparkSession, d: str) -> DataFrame:
     """The language whose frequent words a document uses most, with its share of all hits."""
-    words = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)).alias("w")).groupBy("doc_id", F.lower("w").alias("word")).agg(F.count("*").alias("n"))
-    s = words.join(table(spark, d, "common_words").select("lang", "word"), "word").groupBy("doc_id", "lang").agg(F.sum("n").alias("hits"))
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)).alias("w")).select("doc_id", F.lower("w").alias("word"))
+    # only hits are shuffled, and those are summed up beforehand
+    s = words.join(broadcast_checked(table(spark, d, "common_words").select("lang", "word"), 100_000), "word").groupBy("doc_id", "lang").agg(F.count("*").alias("hits"))
     best = s.groupBy("doc_id").agg(F.min_by(F.struct("lang", "hits"), F.struct(-F.col("hits"), F.col("lang"))).alias("b"), F.sum("hits").alias("all"))
     return best.select("doc_id", F.col("b.lang").alias("detected"), F.col("b.hits").alias("hits"), F.round(F.col("b.hits") / F.col("all"), 4).alias("confidence"))
 

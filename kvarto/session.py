@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that checkpoints go to.
 
-    A cluster names a folder that all executors share in `spark.checkpoint.dir`; only where that is unset
-    (single-machine tests) a temporary folder is made.
+    A cluster names a folder that all executors share in `spark.checkpoint.dir`; only where that is unset on a single
+    machine (a local master, as in tests) a temporary folder is made.
     """
     sc = spark.sparkContext
     have = sc.getCheckpointDir()
     if have:
         return have
     named = sc.getConf().get("spark.checkpoint.dir")
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kvarto-checkpoint-"))
     return sc.getCheckpointDir()
 
