@@ -38,3 +38,23 @@ def normalised_box(box: Column, width: Column, height: Column) -> Column:
     """[x0, y0, x1, y1] in points from the top as [x, y, w, h] in shares of the page, y from the bottom, six places."""
     x0, y0, x1, y1 = (F.get(box, F.lit(i)) for i in range(4))
     return F.array(*[F.round(c, 6) for c in (x0 / width, 1 - y1 / height, (x1 - x0) / width, (y1 - y0) / height)])
+
+
+def dropped_overlaps(boxes: DataFrame, groups: list[str], key: str, first: Column, share: float = 0.5) -> DataFrame:
+    """(key, kept): boxes of the first sweep are kept; one of the second is kept if it overlaps no kept box by more than `share` of either height.
+
+    Kept boxes of the second sweep join the comparison in the order of their heights on the page, so this is a fold over the
+    boxes of one page, whose number the page bounds.
+    """
+    item = F.struct((~F.coalesce(first, F.lit(False))).alias("second"), F.col("y"), F.col(key).alias("key"), "x", "w", "h")
+    listed = boxes.groupBy(*groups).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    kind = dict(listed.dtypes)["items"]
+
+    def hits(a: Column, b: Column) -> Column:
+        common_y = F.least(a["y"] + a["h"], b["y"] + b["h"]) - F.greatest(a["y"], b["y"])
+        common_x = F.least(a["x"] + a["w"], b["x"] + b["w"]) - F.greatest(a["x"], b["x"])
+        return (F.round(common_x, 9) > 0) & (F.round(common_y - share * F.least(a["h"], b["h"]), 9) > 0)
+
+    kept = F.aggregate("items", F.array().cast(kind), lambda acc, x: F.when(~x["second"] | ~F.exists(acc, lambda k: hits(k, x)), F.array_append(acc, x)).otherwise(acc))
+    named = listed.select(F.transform("items", lambda x: x["key"]).alias("all"), F.transform(kept, lambda x: x["key"]).alias("kept"))
+    return named.select(F.explode("all").alias(key), "kept").select(key, F.array_contains("kept", F.col(key)).alias("kept"))

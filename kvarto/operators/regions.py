@@ -42,3 +42,9 @@ def normalised(name: Column, columns: Column, transcript_columns: Column) -> Col
     agree = transcript_columns.isNull() | (transcript_columns == n)
     column = F.when((F.size(refs) == 1) & agree & (n > 0), F.get(columns, index))
     return F.coalesce(furniture, F.when(F.size(refs) > 1, F.lit(None).cast("string")).when(r.rlike("helbredd|hela sidan|full bredd"), FULL_WIDTH).otherwise(column))
+
+
+def column_starts(lefts: Column, gap: int) -> Column:
+    """Where columns start among sorted left edges: a new one begins where the distance from the last start exceeds `gap`."""
+    none = F.slice(lefts, 1, 0)
+    return F.aggregate(lefts, none, lambda acc, x: F.when((F.size(acc) == 0) | (x - F.element_at(acc, -1) > gap), F.array_append(acc, x)).otherwise(acc))

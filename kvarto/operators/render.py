@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kvarto.operators.reflow import folded_lines
 from kvarto.operators.tables import markdown
 
 
@@ -18,7 +19,7 @@ def unwrapped(text: Column) -> Column:
 def element_markdown() -> Column:
     """Markdown of one element by its type; null for what isn't rendered."""
     t = F.col("type")
-    text = F.coalesce("text", F.lit(""))
+    text = F.col("text")
     level = F.least(F.coalesce("level", F.lit(1)) + 1, F.lit(6))
     return (
         F.when(t.isin("page_artifact", "illustration"), F.lit(None).cast("string"))
@@ -26,21 +27,48 @@ def element_markdown() -> Column:
         .when(t == "table", markdown(F.col("headers"), F.col("rows")))
         .when(t == "list", F.array_join(F.transform("items", lambda x: F.concat(F.lit("- "), F.coalesce(x, F.lit("")))), "\n"))
         .when(t == "list_item", F.concat(F.lit("- "), F.regexp_replace(text, r"^[-•*]\s+", "")))
-        .when(t == "boxed_text", F.concat(F.lit("> "), F.regexp_replace(unwrapped(text), "\n", "\n> ")))
+        .when(t == "boxed_text", F.concat(F.lit("> "), folded_lines(F.split("text", r"\r?\n"))))
         .when(t == "table_caption", F.concat(F.lit("*"), text, F.lit("*")))
-        .when(t == "paragraph", unwrapped(text))
         .otherwise(text)
     )
 
 
-def page_markdown(elements: DataFrame) -> DataFrame:
-    """(book, page, markdown): the rendered elements of each page in reading order, with a page mark; removed ones are left out."""
-    kept = elements.filter(~F.coalesce("removed", F.lit(False))).withColumn("md", element_markdown()).filter("md IS NOT NULL AND md <> ''")
-    pages = kept.groupBy("book", "page").agg(F.array_sort(F.collect_list(F.struct("idx", "element_key", "md"))).alias("parts"))
+def page_blocks(elements: DataFrame) -> DataFrame:
+    """(book, page, markdown): the rendered elements of each page in reading order, with a page mark; removed ones are left out.
+
+    `flow` numbers the flows of paragraphs of a page: those of one flow that nothing else parts are one block.
+    """
+    kept = elements.filter(~F.coalesce("removed", F.lit(False)) & ~F.col("type").isin("page_artifact", "illustration"))
+    run = F.sum(F.when(F.col("type") == "paragraph", 0).otherwise(1)).over(Window.partitionBy("book", "page").orderBy("idx", "element_key"))
+    kept = kept.withColumn("run", run)
+    prose = kept.filter("type = 'paragraph' AND text IS NOT NULL").groupBy("book", "page", "run", "flow").agg(F.array_sort(F.collect_list(F.struct("idx", "element_key", F.split("text", r"\r?\n").alias("lines")))).alias("l"))
+    prose = prose.select("book", "page", F.struct(F.col("l")[0]["idx"].alias("idx"), F.col("l")[0]["element_key"].alias("element_key")).alias("place"), folded_lines(F.flatten(F.transform("l", lambda x: x["lines"]))).alias("md"))
+    rest = kept.filter("type <> 'paragraph'").select("book", "page", F.struct("idx", "element_key").alias("place"), element_markdown().alias("md"))
+    pages = prose.unionByName(rest).filter("md IS NOT NULL AND md <> ''").groupBy("book", "page").agg(F.array_sort(F.collect_list(F.struct("place", "md"))).alias("parts"))
     body = F.array_join(F.transform("parts", lambda p: p["md"]), "\n\n")
     return pages.select("book", "page", F.concat(F.lit("<!-- sida "), F.col("page").cast("string"), F.lit(" -->\n\n"), body).alias("markdown"))
 
 
+def _grid(heads: Column, rows: Column) -> Column:
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
+    return F.concat(line(heads), F.lit("\n|"), F.repeat(F.lit(" --- |"), F.size(heads)), F.lit("\n"), F.array_join(F.transform(rows, line), "\n"))
+
+
+def statblock_markdown(name: Column, heading: Column, fields: Column) -> Column:
+    """A statblock: its name, unless the heading before says it, and its fields (label, value) as a table of one row."""
+    title = F.when(~name.eqNullSafe(heading), F.concat(F.lit("**"), name, F.lit("**")))
+    stats = F.when(F.size(fields) > 0, _grid(F.transform(fields, lambda f: f["label"]), F.array(F.transform(fields, lambda f: f["value"]))))
+    return F.array_join(F.array_compact(F.array(title, stats)), "\n\n")
+
+
+def filled_columns(items: Column, names: list[str]) -> Column:
+    """Structs as a table of the columns that at least one of them fills; what is missing is a dash."""
+    fills = {name: F.size(F.array_compact(items[name])) > 0 for name in names}
+    used = F.filter(F.array(*map(F.lit, names)), lambda n: F.coalesce(*[F.when(n == name, fills[name]) for name in names]))
+    cell = lambda x, n: F.coalesce(*[F.when(n == name, x[name]) for name in names], F.lit("—"))
+    return _grid(used, F.transform(items, lambda x: F.transform(used, lambda n: cell(x, n))))
+
+
 def canonical_pages(elements: DataFrame) -> DataFrame:
     """(book, page, n, needs_review, json): each page's elements as a JSON array in reading order."""
     item = F.struct("idx", "element_key", F.struct("id", "type", "level", "text", "confidence").alias("e"))

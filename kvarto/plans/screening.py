@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from kvarto.functions.text import artifact_key, as_int, core, leading_int, name_key, normalise, slug, tokens, without_leaders
 from kvarto.operators.bags import bag_difference, unexplained, word_bag
 from kvarto.operators.pages import page_findings
-from kvarto.operators.render import canonical_pages, page_markdown, unwrapped
+from kvarto.operators.render import canonical_pages, unwrapped
 from kvarto.operators.rules import RULES, scan
 from kvarto.operators.tables import assemble, cells, csv_lines, markdown, stitch
 from kvarto.plans import query
@@ -175,11 +175,17 @@ def stitched_tables(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("head").alias("least_key"), "parts", F.size("rows").alias("rows"))
 
 
+#: SQL: a table as markdown, one without headers as bullets
+TABLE_SQL = (
+    "CASE WHEN len(headers) > 0 THEN array_to_string(list_concat(['| ' || array_to_string(list_transform(headers, lambda c: replace(coalesce(c, ''), '|', '\\|')), ' | ') || ' |', '|' || repeat(' --- |', len(headers))], "
+    "list_transform(rows, lambda r: '| ' || array_to_string(list_transform(r, lambda c: replace(coalesce(c, ''), '|', '\\|')), ' | ') || ' |')), chr(10)) "
+    "ELSE array_to_string(list_transform(rows, lambda r: '- ' || array_to_string(list_transform(r, lambda c: coalesce(c, '')), ' — ')), chr(10)) END"
+)
+
+
 @query(
     "k06_table_markdown",
-    f"WITH {CURRENT} SELECT element_key, CASE WHEN len(headers) > 0 THEN array_to_string(list_concat(['| ' || array_to_string(list_transform(headers, lambda c: replace(coalesce(c, ''), '|', '\\|')), ' | ') || ' |', '|' || repeat(' --- |', len(headers))], "
-    "list_transform(rows, lambda r: '| ' || array_to_string(list_transform(r, lambda c: replace(coalesce(c, ''), '|', '\\|')), ' | ') || ' |')), chr(10)) "
-    "ELSE array_to_string(list_transform(rows, lambda r: '- ' || array_to_string(list_transform(r, lambda c: coalesce(c, '')), ' — ')), chr(10)) END AS markdown FROM e WHERE type = 'table' AND rows IS NOT NULL",
+    f"WITH {CURRENT} SELECT element_key, {TABLE_SQL} AS markdown FROM e WHERE type = 'table' AND rows IS NOT NULL",
 )
 def table_markdown(spark: SparkSession, d: str) -> DataFrame:
     t = current(spark, d, "type", "headers", "rows").filter("type = 'table' AND rows IS NOT NULL")
@@ -191,11 +197,6 @@ def table_csv(spark: SparkSession, d: str) -> DataFrame:
     return csv_lines(current(spark, d, "type", "headers", "rows").filter("type = 'table' AND rows IS NOT NULL"), "element_key")
 
 
-@query("k04_page_markdown")
-def pages_as_markdown(spark: SparkSession, d: str) -> DataFrame:
-    return page_markdown(current(spark, d))
-
-
 @query("k03_canonical_pages")
 def pages_as_json(spark: SparkSession, d: str) -> DataFrame:
     return canonical_pages(current(spark, d))

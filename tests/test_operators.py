@@ -1,12 +1,15 @@
 import random
 
+
 from pyspark.sql import functions as F
 
 from kvarto.functions.ranks import floor_rank, nearest_rank, upper_median
 from kvarto.functions.text import as_int, core, leading_int, name_key, normalise, slug
 from kvarto.operators.bags import bag_difference, unexplained, word_bag
 from kvarto.operators.lookups import range_lookup, single_match
-from kvarto.operators.render import page_markdown, unwrapped
+from kvarto.operators.boxes import dropped_overlaps
+from kvarto.operators.regions import column_starts
+from kvarto.operators.render import filled_columns, page_blocks, statblock_markdown, unwrapped
 from kvarto.operators.rules import scan
 from kvarto.operators.sequences import anchor_bands, gap_clusters, runs
 from kvarto.operators.statistics import floored, nearest, order_statistics
@@ -132,7 +135,39 @@ def test_tables(spark):
 def test_render(spark):
     assert one(spark, "en kråks-\npejare\nhär\n\nny SL-\nPerson", unwrapped) == "en kråkspejare här\n\nny SL- Person"
     e = element(spark, {"type": "heading", "level": 9, "text": "H"}, {"text": "a\nb", "idx": 2}, {"type": "page_artifact", "text": "7", "idx": 1}, {"type": "list", "items": ["x"], "idx": 3}, {"text": "bort", "removed": True})
-    assert page_markdown(e).first()["markdown"] == "<!-- sida 1 -->\n\n###### H\n\na b\n\n- x"
+    rendered = lambda e: page_blocks(e.withColumn("flow", F.lit(1))).first()["markdown"]
+    assert rendered(e) == "<!-- sida 1 -->\n\n###### H\n\na b\n\n- x"
+    parts = element(spark, {"text": "den ring-"}, {"text": "en lurar", "idx": 1}, {"type": "heading", "level": 1, "text": "H", "idx": 2}, {"text": "sist", "idx": 3}, {"type": "boxed_text", "text": "en\nruta", "idx": 4})
+    assert rendered(parts) == "<!-- sida 1 -->\n\nden ringen lurar\n\n## H\n\nsist\n\n> en ruta"
+
+
+def test_statblocks_and_gear(spark):
+    fields = F.expr("array(named_struct('label', 'STY', 'value', '6'), named_struct('label', 'FYS', 'value', '7'))")
+    got = spark.range(1).select(statblock_markdown(F.lit("Orm"), F.lit("Hot"), fields), statblock_markdown(F.lit("Orm"), F.lit("Orm"), fields), statblock_markdown(F.lit("Orm"), F.lit(None), F.slice(fields, 1, 0))).first()
+    assert tuple(got) == ("**Orm**\n\n| STY | FYS |\n| --- | --- |\n| 6 | 7 |", "| STY | FYS |\n| --- | --- |\n| 6 | 7 |", "**Orm**")
+    gear = spark.createDataFrame([([("Yxa", "1T8", None), ("Dolk", None, None)],)], "l array<struct<name:string,damage:string,reach:string>>")
+    assert gear.select(filled_columns(F.col("l"), ["name", "damage", "reach"])).first()[0] == "| name | damage |\n| --- | --- |\n| Yxa | 1T8 |\n| Dolk | — |"
+
+
+def test_column_starts(spark):
+    df = spark.createDataFrame([([10, 60, 115, 200, 230],), ([],), ([5],)], "x array<int>")
+    assert [r[0] for r in df.select(column_starts(F.col("x"), 100)).collect()] == [[10, 115, 230], [], [5]]
+
+
+def test_overlaps_of_a_second_sweep(spark):
+    r = random.Random(4)
+    rows = [(p, k + 100 * p, r.random() < 0.4, r.choice([0.1, 0.5]), round(r.random(), 2), 0.3, r.choice([0.02, 0.05])) for p in range(3) for k in range(40)]
+    df = spark.createDataFrame(rows, "page int, k int, first boolean, x double, y double, w double, h double")
+    got = {x["k"]: x["kept"] for x in dropped_overlaps(df, ["page"], "k", F.col("first")).collect()}
+    want = {}
+    for page in range(3):
+        kept = []
+        for _, k, first, x, y, w, h in sorted((a for a in rows if a[0] == page), key=lambda a: (not a[2], a[4], a[1])):
+            hit = any(round(min(x + w, a + c) - max(x, a), 9) > 0 and round(min(y + h, b + e) - max(y, b) - 0.5 * min(h, e), 9) > 0 for a, b, c, e in kept)
+            want[k] = first or not hit
+            if want[k]:
+                kept.append((x, y, w, h))
+    assert got == want and 10 < sum(want.values()) < 110
 
 
 def test_lists_and_blocks_that_go_on(spark):
