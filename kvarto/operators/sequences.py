@@ -64,3 +64,14 @@ def rolling_range(df: DataFrame, groups: Sequence[str], order: Sequence[str], x:
     """Adds the least and greatest value of `x` from `reach` rows before to `reach` rows after."""
     w = Window.partitionBy(*groups).orderBy(*order).rowsBetween(-reach, reach)
     return df.withColumns({"low": F.min(x).over(w), "high": F.max(x).over(w)})
+
+
+def embedded_rows(elements: DataFrame, longest: int = 28) -> DataFrame:
+    """(book, page, run, cells, n): runs of two or more embedded texts with the same number of lines, at least two and none longer than `longest`, as cells of table rows.
+
+    Needs book, page, idx, element_key, text, method; null texts are passed over.
+    """
+    lines = F.split("text", "\n")
+    cells = F.when((F.col("method") == "embedded") & (F.size(lines) >= 2) & (F.array_max(F.transform(lines, lambda x: F.length(x))) <= longest), F.size(lines)).otherwise(0)
+    marked = runs(elements.filter("text IS NOT NULL").withColumn("cells", cells), ["book", "page"], ["idx", "element_key"], F.col("cells"))
+    return marked.filter("cells > 0").groupBy("book", "page", "run").agg(F.max("cells").alias("cells"), F.count("*").alias("n")).filter("n >= 2")

@@ -36,13 +36,17 @@ def assemble(loose: DataFrame, groups: list[str], order: list[str], columns: Col
 def stitch(tables: DataFrame, key: str) -> DataFrame:
     """(head, parts, rows): tables with the same headers, not empty, that follow each other across a page break in a book are one.
 
-    Needs book, page, idx, headers, rows; `head` is the key of the first part.
+    Needs book, page, idx, headers, rows; `head` is the key of the first part. Only the last table of a page can go on, and
+    only in the first of the next: chains are found among the tables of a book with the same headers, no window spans a book.
     """
-    w = Window.partitionBy("book").orderBy("page", "idx", key)
-    same = (F.size("headers") > 0) & F.col("headers").eqNullSafe(F.lag("headers").over(w)) & (F.col("page") == F.lag("page").over(w) + 1)
-    numbered = tables.withColumn("new__", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("chain__", F.sum("new__").over(w))
+    page = Window.partitionBy("book", "page").orderBy("idx", key)
+    w = Window.partitionBy("book", "headers").orderBy("page", "idx", key)
+    narrow = tables.select("book", "page", "idx", key, "headers").withColumns({"first__": F.lag(key).over(page).isNull(), "last__": F.lead(key).over(page).isNull()}).filter(F.size("headers") > 0)
+    same = F.col("first__") & F.lag("last__").over(w) & (F.col("page") == F.lag("page").over(w) + 1)
+    chains = narrow.withColumn("new__", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("chain__", F.sum("new__").over(w))
+    heads = chains.select(F.col(key).alias("key__"), F.first(key).over(Window.partitionBy("book", "headers", "chain__").orderBy("page", "idx", key)).alias("head__"))
     part = F.struct("page", "idx", F.col(key).alias("key"), "rows")
-    joined = numbered.groupBy("book", "chain__").agg(F.array_sort(F.collect_list(part)).alias("p"))
+    joined = tables.join(heads, F.col(key) == F.col("key__"), "left").groupBy(F.coalesce("head__", key).alias("chain__")).agg(F.array_sort(F.collect_list(part)).alias("p"))
     return joined.select(F.col("p")[0]["key"].alias("head"), F.size("p").alias("parts"), F.flatten(F.transform("p", lambda x: F.coalesce(x["rows"], F.array().cast("array<array<string>>")))).alias("rows"))
 
 

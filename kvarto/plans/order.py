@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kvarto.operators.drift import interleaved
+from kvarto.operators.sequences import embedded_rows as embedded_rows_of
 from kvarto.operators.sequences import anchor_bands, carried, gap_clusters, out_of_order, rolling_range, runs
 from kvarto.plans import query
 from kvarto.plans.elements import CURRENT, current
@@ -22,16 +24,10 @@ def reading_order(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "w02_interleaving",
     f"WITH {CURRENT}, c AS (SELECT book, page, idx, element_key, CASE region WHEN 'kolumn 1' THEN 1 WHEN 'kolumn 2' THEN 2 END AS col FROM e WHERE region IN ('kolumn 1', 'kolumn 2')), "
-    "n AS (SELECT *, count(*) FILTER (col = 1) OVER (PARTITION BY book, page) AS firsts, count(*) FILTER (col = 1) OVER (PARTITION BY book, page ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM c) SELECT element_key FROM n WHERE col = 2 AND firsts >= 2 AND after >= 0.8 * firsts",
+    "n AS (SELECT *, count(*) FILTER (col = 1) OVER (PARTITION BY book, page) AS firsts, count(*) FILTER (col = 2) OVER (PARTITION BY book, page) AS seconds, count(*) FILTER (col = 1) OVER (PARTITION BY book, page ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM c) SELECT element_key FROM n WHERE col = 2 AND firsts >= 5 AND seconds >= 5 AND after >= 0.8 * firsts",
 )
 def interleaving(spark: SparkSession, d: str) -> DataFrame:
-    """Elements of the second column that stand before most of the first column."""
-    e = current(spark, d, "book", "page", "idx", "region").filter("region IN ('kolumn 1', 'kolumn 2')")
-    first = (F.col("region") == "kolumn 1").cast("int")
-    page = Window.partitionBy("book", "page")
-    after = page.orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    n = e.withColumns({"firsts": F.sum(first).over(page), "after": F.coalesce(F.sum(first).over(after), F.lit(0))})
-    return n.filter((F.col("region") == "kolumn 2") & (F.col("firsts") >= 2) & (F.col("after") >= 0.8 * F.col("firsts"))).select("element_key")
+    return interleaved(current(spark, d, "book", "page", "idx", "region"))
 
 
 @query(
@@ -63,17 +59,12 @@ def anchor_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "w06_embedded_rows",
-    f"WITH {CURRENT}, n AS (SELECT book, page, idx, element_key, method = 'embedded' AND contains(text, chr(10)) AND len(string_split(text, chr(10))) >= 2 AND NOT regexp_matches(text, '[^\n]{{41}}') AS cells FROM e WHERE text IS NOT NULL), "
-    "c AS (SELECT *, CASE WHEN coalesce(lag(cells) OVER w = cells, false) THEN 0 ELSE 1 END AS new FROM n WINDOW w AS (PARTITION BY book, page ORDER BY idx, element_key)), r AS (SELECT *, sum(new) OVER (PARTITION BY book, page ORDER BY idx, element_key) AS run FROM c) "
-    "SELECT book, page, run::BIGINT AS run, count(*) AS n FROM r WHERE cells GROUP BY 1, 2, 3",
+    f"WITH {CURRENT}, n AS (SELECT book, page, idx, element_key, method = 'embedded' AND contains(text, chr(10)) AND len(string_split(text, chr(10))) >= 2 AND list_max(list_transform(string_split(text, chr(10)), lambda l: length(l))) <= 28 AS short, len(string_split(text, chr(10))) AS size FROM e WHERE text IS NOT NULL), m AS (SELECT *, CASE WHEN short THEN size ELSE 0 END AS cells FROM n), "
+    "c AS (SELECT *, CASE WHEN lag(cells) OVER w IS NOT DISTINCT FROM cells THEN 0 ELSE 1 END AS new FROM m WINDOW w AS (PARTITION BY book, page ORDER BY idx, element_key)), r AS (SELECT *, sum(new) OVER (PARTITION BY book, page ORDER BY idx, element_key) AS run FROM c) "
+    "SELECT book, page, run::BIGINT AS run, max(cells)::INT AS cells, count(*) AS n FROM r WHERE cells > 0 GROUP BY 1, 2, 3 HAVING count(*) >= 2",
 )
 def embedded_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of embedded texts that consist of short lines, as cells of a table row do."""
-    e = current(spark, d, "book", "page", "idx", "text", "method").filter("text IS NOT NULL")
-    lines = F.split("text", "\n")
-    cells = (F.col("method") == "embedded") & F.contains("text", F.lit("\n")) & (F.size(lines) >= 2) & (F.array_max(F.transform(lines, F.length)) <= 40)
-    marked = runs(e.withColumn("cells", cells), ["book", "page"], ["idx", "element_key"], F.col("cells"))
-    return marked.filter("cells").groupBy("book", "page", "run").agg(F.count("*").alias("n"))
+    return embedded_rows_of(current(spark, d, "book", "page", "idx", "text", "method"))
 
 
 @query(
@@ -117,12 +108,19 @@ def type_runs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "w20_carried_headers",
-    f"WITH {CURRENT} SELECT element_key, coalesce(len(headers), 0) = 0 AS inherited, last_value(CASE WHEN len(headers) >= 2 THEN headers END IGNORE NULLS) OVER (PARTITION BY book, page ORDER BY idx, element_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM e WHERE type = 'table'",
+    f"WITH {CURRENT}, g AS (SELECT *, sum(CASE WHEN type IN ('table', 'table_caption') THEN 0 ELSE 1 END) OVER (PARTITION BY book, page ORDER BY idx, element_key) AS chain FROM e WHERE NOT coalesce(removed, false)), "
+    "c AS (SELECT element_key, coalesce(len(headers), 0) = 0 AS inherited, list_max(list_transform(rows, lambda r: len(r))) AS cells, last_value(CASE WHEN len(headers) >= 2 THEN headers END IGNORE NULLS) OVER (PARTITION BY book, page, chain ORDER BY idx, element_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used FROM g WHERE type = 'table') "
+    "SELECT element_key, inherited, CASE WHEN NOT inherited OR len(used) = cells THEN used END AS used FROM c",
 )
 def carried_headers(spark: SparkSession, d: str) -> DataFrame:
-    e = current(spark, d, "book", "page", "idx", "type", "headers").filter("type = 'table'")
-    used = carried(e, ["book", "page"], ["idx", "element_key"], F.when(F.size("headers") >= 2, F.col("headers")), "used")
-    return used.select("element_key", (F.coalesce(F.size("headers"), F.lit(0)) <= 0).alias("inherited"), "used")
+    """A table without headers takes those (two or more) of the table before it on the page, if only captions stand between and its widest row has as many cells."""
+    e = current(spark, d, "book", "page", "idx", "type", "headers", "rows", "removed").filter("NOT coalesce(removed, false)")
+    w = Window.partitionBy("book", "page").orderBy("idx", "element_key")
+    t = e.withColumn("chain", F.sum(F.when(F.col("type").isin("table", "table_caption"), 0).otherwise(1)).over(w)).filter("type = 'table'")
+    used = carried(t, ["book", "page", "chain"], ["idx", "element_key"], F.when(F.size("headers") >= 2, F.col("headers")), "used")
+    inherited = F.coalesce(F.size("headers"), F.lit(0)) <= 0
+    cells = F.array_max(F.transform("rows", lambda r: F.size(r)))
+    return used.select("element_key", inherited.alias("inherited"), F.when(~inherited | (F.size("used") == cells), F.col("used")).alias("used"))
 
 
 @query("j16_preceding_caption", f"WITH {CURRENT} SELECT * FROM (SELECT element_key, type, last_value(CASE WHEN type = 'table_caption' THEN text END IGNORE NULLS) OVER (PARTITION BY book, page ORDER BY idx, element_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS caption FROM e) WHERE type = 'table' AND caption IS NOT NULL")

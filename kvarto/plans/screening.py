@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kvarto.functions.text import artifact_key, as_int, core, leading_int, name_key, normalise, slug, tokens, without_leaders
 from kvarto.operators.bags import bag_difference, unexplained, word_bag
 from kvarto.operators.pages import page_findings
+from kvarto.operators.regions import column_starts
 from kvarto.operators.render import canonical_pages, unwrapped
 from kvarto.operators.rules import RULES, scan
 from kvarto.operators.tables import assemble, cells, csv_lines, markdown, stitch
@@ -89,9 +90,18 @@ def unexplained_words(spark: SparkSession, d: str) -> DataFrame:
     return unexplained(bag_difference(bag("embedded"), bag("final"), keys), credited, keys)
 
 
-@query("t02_top_words", f"SELECT word, count(*) AS n FROM (SELECT {_TOKENS.format('text')} AS word FROM bok WHERE text IS NOT NULL) WHERE {_REAL} GROUP BY 1 ORDER BY n DESC, word LIMIT 25")
+_SIDES = f"WITH w AS (SELECT stage, word, count(*) AS n FROM (SELECT stage, {_TOKENS.format('text')} AS word FROM bok WHERE stage IN ('embedded', 'final') AND text IS NOT NULL) WHERE {_REAL} GROUP BY 1, 2), d AS (SELECT word, sum(CASE stage WHEN 'embedded' THEN n ELSE -n END) AS n FROM w GROUP BY 1 HAVING sum(CASE stage WHEN 'embedded' THEN n ELSE -n END) <> 0), r AS (SELECT CASE WHEN n > 0 THEN 'lost' ELSE 'gained' END AS side, word, abs(n)::BIGINT AS n FROM d), k AS (SELECT *, row_number() OVER (PARTITION BY side ORDER BY n DESC, word) AS place FROM r) "
+
+
+@query("t02_top_words", _SIDES + "SELECT side, word, n FROM k WHERE place <= 25 UNION ALL SELECT side, NULL, count(*) FROM k WHERE place > 25 GROUP BY 1")
 def top_words(spark: SparkSession, d: str) -> DataFrame:
-    return word_bag(table(spark, d, "bok"), F.col("text")).orderBy(F.desc("n"), "word").limit(25)
+    """The 25 words that the last stage has lost and gained most often against the first (a report's top list), and how many more there are on each side."""
+    bok = table(spark, d, "bok")
+    bag = lambda stage, sign: word_bag(bok.filter(F.col("stage") == stage), F.col("text")).select("word", (F.col("n") * sign).alias("n"))
+    r = bag("embedded", 1).unionByName(bag("final", -1)).groupBy("word").agg(F.sum("n").alias("n")).filter("n <> 0").select(F.when(F.col("n") > 0, "lost").otherwise("gained").alias("side"), "word", F.abs("n").alias("n"))
+    all_words = r.groupBy("side").agg((F.count("*") - 25).alias("n")).filter("n > 0").select("side", F.lit(None).cast("string").alias("word"), "n")
+    tops = [r.filter(F.col("side") == side).orderBy(F.desc("n"), "word").limit(25) for side in ("lost", "gained")]
+    return tops[0].unionByName(tops[1]).unionByName(all_words)
 
 
 @query(
@@ -158,11 +168,16 @@ def table_cells(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "w16_assembled_cells",
-    f"WITH {CURRENT}, c AS (SELECT book, page, list(text ORDER BY idx, element_key) AS cells FROM e WHERE type = 'table_cell' AND text IS NOT NULL GROUP BY 1, 2) SELECT book, page, 2 AS columns, CASE WHEN len(cells) % 2 = 0 THEN list_transform(range(len(cells) // 2), lambda i: cells[2 * i + 1:2 * i + 2]) END AS rows, CASE WHEN len(cells) % 2 = 0 THEN 0 ELSE 2 - len(cells) % 2 END::INT AS short FROM c",
+    f"WITH {CURRENT}, c AS (SELECT book, page, list(text ORDER BY idx, element_key) AS cells, list(round(x * 1000)::INT ORDER BY x) FILTER (x IS NOT NULL) AS xs FROM e WHERE type = 'table_cell' AND text IS NOT NULL GROUP BY 1, 2), "
+    "n AS (SELECT book, page, cells, coalesce(len(list_reduce(list_transform(xs, lambda x: [x]), lambda a, b: CASE WHEN b[1] - a[-1] > 100 THEN list_append(a, b[1]) ELSE a END)), 1)::INT AS columns FROM c) "
+    "SELECT book, page, columns, CASE WHEN len(cells) % columns = 0 THEN list_transform(range(len(cells) // columns), lambda i: cells[columns * i + 1:columns * i + columns]) END AS rows, CASE WHEN len(cells) % columns = 0 THEN 0 ELSE columns - len(cells) % columns END::INT AS short FROM n",
 )
 def assembled_cells(spark: SparkSession, d: str) -> DataFrame:
-    loose = current(spark, d, "book", "page", "idx", "type", "text").filter("type = 'table_cell' AND text IS NOT NULL")
-    return assemble(loose, ["book", "page"], ["idx", "element_key"], F.lit(2))
+    """Loose cells of a page as a table: its columns are those that the cells' left edges tell, one if none is measured."""
+    loose = current(spark, d, "book", "page", "idx", "type", "text", "x").filter("type = 'table_cell' AND text IS NOT NULL")
+    edges = loose.filter("x IS NOT NULL").groupBy("book", "page").agg(F.array_sort(F.collect_list(F.round(F.col("x") * 1000).cast("int"))).alias("xs"))
+    columns = edges.select("book", "page", F.size(column_starts(F.col("xs"), 100)).alias("n"))
+    return assemble(loose.join(columns, ["book", "page"], "left"), ["book", "page"], ["idx", "element_key"], F.coalesce("n", F.lit(1)))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kvarto.streaming.ingest import checked
@@ -19,6 +19,29 @@ def verified(spark: SparkSession, path: str, checksums: DataFrame) -> DataFrame:
     return files.join(checksums.select("file", F.col("sha256").alias("expected")), "file", "full").withColumn("ok", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)))
 
 
+def adapters(spark: SparkSession, path: str) -> DataFrame:
+    """(adapter, part, json) of the JSON files of every adapter folder under `path`: folders that hold a system.json and don't begin with an underscore.
+
+    A part that an adapter lacks has no row; a lookup in it finds nothing.
+    """
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    named = files.select(F.element_at(parts, -2).alias("adapter"), F.regexp_replace(F.element_at(parts, -1), r"\.json$", "").alias("part"), F.regexp_replace("value", "^\ufeff", "").alias("json"))
+    whole = named.filter("part = 'system' AND NOT startswith(adapter, '_')").select("adapter").distinct()
+    return named.join(whole, "adapter", "left_semi")
+
+
+def with_measured_rows(elements: DataFrame, rows: DataFrame) -> DataFrame:
+    """`elements` with `measured`, the rows (row_idx, x, y, w, h) measured on their page in order, null where a page has none."""
+    pages = rows.groupBy("book", "page").agg(F.array_sort(F.collect_list(F.struct("row_idx", "x", "y", "w", "h"))).alias("measured"))
+    return elements.join(pages, ["book", "page"], "left")
+
+
+def item_class(text: Column) -> Column:
+    """The class that a question names in brackets, `beslut` or `verktyg`; `beslut` if it names none."""
+    return F.coalesce(F.nullif(F.regexp_extract(text, r"^\s*\[(beslut|verktyg)\]", 1), F.lit("")), F.lit("beslut"))
+
+
 def queue_items(lines: DataFrame, heading: str) -> DataFrame:
     """(file, item, text) of open items `- [ ] ID text` under one heading; indented lines continue an item.
 

@@ -1,11 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from kvarto.operators.drift import ceased_types, interleaved, retyped_furniture
 from kvarto.operators.lookups import range_lookup
 from kvarto.operators.reflow import begins_paragraph, folded_lines, local_columns
+from kvarto.operators.sequences import embedded_rows
 from kvarto.operators.splits import suffix
 from kvarto.operators.validation import bonus, row_shapes, typical_value, uneven_rows
 from kvarto.plans.inventory import page_set
+from kvarto.sources.files import adapters, item_class, with_measured_rows
 
 
 def values(spark, column, rows, schema):
@@ -61,3 +64,35 @@ def test_many_bands_are_joined_by_buckets(spark):
     assert few == many and ("4999", "wide") in many and ("9", None) in many
     plan = range_lookup(df, F.col("v"), bands, "low", "high", ["name"], 3)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_drift_with_the_inventorys_counts(spark):
+    rows = [("b", p, "paragraph") for p in range(1, 21)] + [("b", p, "list") for p in range(1, 7)] + [("b", p, "table") for p in (1, 2, 3)] + [("b", p, "heading") for p in range(6, 15)]
+    got = ceased_types(spark.createDataFrame(rows, "book string, page int, type string"), 5, 8).collect()
+    assert [(r["type"], r["pages"], r["last"], r["silent"]) for r in got] == [("list", 6, 6, 14)]
+    tops = [("b", p, i, "HÄXAN" if i == 0 else f"text {p} {i}", ("page_artifact" if p < 3 else "heading") if i == 0 else "paragraph", 0.9 - i / 10) for p in (1, 2, 3) for i in range(5)]
+    e = spark.createDataFrame(tops, "book string, page int, idx int, text string, type string, y double")
+    assert [(r["text"], r["pages"], r["types"]) for r in retyped_furniture(e).collect()] == [("HÄXAN", 3, ["heading", "page_artifact"])]
+    assert retyped_furniture(e.filter("idx < 4")).count() == 0
+    order = [2, 1, 1, 1, 1, 1, 2, 2, 2, 2]
+    columns = spark.createDataFrame([("b", 1, i, i, f"kolumn {c}") for i, c in enumerate(order)], "book string, page int, idx int, element_key int, region string")
+    assert [r["element_key"] for r in interleaved(columns).collect()] == [0] and interleaved(columns.filter("idx < 9")).count() == 0
+
+
+def test_rows_read_from_an_embedded_layer(spark):
+    rows = [(i, t, m) for i, (t, m) in enumerate([("a\nb", "embedded"), ("c\nd", "embedded"), ("e\nf\ng", "embedded"), ("a\nb", "vision"), ("a\n" + "b" * 29, "embedded"), ("x\ny", "embedded"), (None, "embedded"), ("z\nw", "embedded")])]
+    e = spark.createDataFrame([("b", 1, i, i, t, m) for i, t, m in rows], "book string, page int, idx int, element_key int, text string, method string")
+    assert sorted((r["cells"], r["n"]) for r in embedded_rows(e).collect()) == [(2, 2), (2, 2)]
+
+
+def test_adapters_and_measured_rows(spark, tmp_path):
+    for name, files in {"dod": {"system": "{}", "dice": "{}"}, "_draft": {"system": "{}"}, "empty": {"dice": "{}"}}.items():
+        (tmp_path / name).mkdir()
+        for part, text in files.items():
+            (tmp_path / name / f"{part}.json").write_text("\ufeff" + text, encoding="utf-8")
+    assert sorted((r["adapter"], r["part"], r["json"]) for r in adapters(spark, str(tmp_path)).collect()) == [("dod", "dice", "{}"), ("dod", "system", "{}")]
+    e = spark.createDataFrame([("b", 1, 7), ("b", 2, 8)], "book string, page int, element_key int")
+    bands = spark.createDataFrame([("b", 1, 1, 0.1, 0.2, 0.3, 0.4), ("b", 1, 0, 0.1, 0.1, 0.3, 0.4)], "book string, page int, row_idx int, x double, y double, w double, h double")
+    got = {r["element_key"]: r["measured"] and [m["row_idx"] for m in r["measured"]] for r in with_measured_rows(e, bands).collect()}
+    assert got == {7: [0, 1], 8: None}
+    assert values(spark, item_class(F.col("t")), [("[verktyg] x",), ("[beslut] y",), ("z",), (None,)], "t string") == ["verktyg", "beslut", "beslut", "beslut"]
