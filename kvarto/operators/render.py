@@ -69,6 +69,13 @@ def filled_columns(items: Column, names: list[str]) -> Column:
     return _grid(used, F.transform(items, lambda x: F.transform(used, lambda n: cell(x, n))))
 
 
+def marked_pages(markdown: Column) -> Column:
+    """The pages (page, text) of a text with page marks; what stands before the first mark has no page."""
+    parts = F.split(markdown, r"(?=<!-- sida \d+ -->)")
+    page = lambda p: F.regexp_extract(p, r"^<!-- sida (\d+) -->", 1).try_cast("int")
+    return F.filter(F.transform(parts, lambda p: F.struct(page(p).alias("page"), F.trim(F.regexp_replace(F.regexp_replace(p, r"^<!-- sida \d+ -->", ""), r"^\n+|\n+\z", "")).alias("text"))), lambda p: (p["text"] != "") | p["page"].isNotNull())
+
+
 def canonical_pages(elements: DataFrame) -> DataFrame:
     """(book, page, n, needs_review, json): each page's elements as a JSON array in reading order."""
     item = F.struct("idx", "element_key", F.struct("id", "type", "level", "text", "confidence").alias("e"))

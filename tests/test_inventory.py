@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from kvarto.operators.drift import ceased_types, interleaved, retyped_furniture
+from kvarto.operators.grids import header_rows, proposals, table_blocks
 from kvarto.operators.lookups import range_lookup
 from kvarto.operators.reflow import begins_paragraph, folded_lines, local_columns
+from kvarto.operators.render import marked_pages
 from kvarto.operators.sequences import embedded_rows
 from kvarto.operators.splits import suffix
 from kvarto.operators.validation import bonus, row_shapes, typical_value, uneven_rows
@@ -96,3 +98,24 @@ def test_adapters_and_measured_rows(spark, tmp_path):
     got = {r["element_key"]: r["measured"] and [m["row_idx"] for m in r["measured"]] for r in with_measured_rows(e, bands).collect()}
     assert got == {7: [0, 1], 8: None}
     assert values(spark, item_class(F.col("t")), [("[verktyg] x",), ("[beslut] y",), ("z",), (None,)], "t string") == ["verktyg", "beslut", "beslut", "beslut"]
+
+
+def test_grids_become_tables(spark):
+    def grid(page, texts, skip=()):
+        return [("b", page, "r", 100 * page + 10 * i + j, "paragraph", t, 0.1 + 0.3 * j, 0.8 - 0.03 * i, 0.2, 0.02, 0.5 + i / 10, False) for i, row in enumerate(texts) for j, t in enumerate(row) if (i, j) not in skip]
+
+    rows = grid(1, [["Namn", "Bv"], ["a", "1"], ["b", "2"], ["c", "3"]]) + grid(2, [["a", "1", "x"], ["b", "2", "y"], ["c", "3", "z"]], {(1, 2)})
+    rows = [r[:4] + ("heading",) + r[5:] if r[5] in ("Namn", "Bv") else r for r in rows]
+    e = spark.createDataFrame(rows, "book string, page int, region string, element_key long, type string, text string, x double, y double, w double, h double, confidence double, removed boolean")
+    blocks = table_blocks(e)
+    got = {r["page"]: r for r in proposals(blocks, e).collect()}
+    assert got[1]["shape"] == "rectangle" and got[1]["rows"] == [["a", "1"], ["b", "2"], ["c", "3"]] and (got[1]["x"], got[1]["columns"], got[1]["confidence"]) == (0.1, 2, 0.6)
+    assert [(r["page"], r["headers"]) for r in header_rows(blocks, e).collect()] == [(1, ["Namn", "Bv"])]
+    assert proposals(blocks.limit(0), e).count() == 0
+    doubled = blocks.filter("page = 1").withColumn("col", F.when(F.col("element_key") == 111, 0).otherwise(F.col("col")))
+    assert [(r["shape"], r["rows"][0]) for r in proposals(doubled, e).collect()] == [("uneven", [None])]
+
+
+def test_marked_pages(spark):
+    text = "förord\n<!-- sida 1 -->\n\na\n\nb\n<!-- sida 12 -->\n"
+    assert [tuple(p) for p in values(spark, marked_pages(F.col("t")), [(text,)], "t string")[0]] == [(None, "förord"), (1, "a\n\nb"), (12, "")]
