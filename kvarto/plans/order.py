@@ -50,7 +50,11 @@ def sessions(spark: SparkSession, d: str) -> DataFrame:
     return gap_clusters(e, ["user_id"], "us", 6 * 3600 * 1_000_000, ["event_id"], "session").groupBy("user_id", "session").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
 
-@query("w04_anchor_rows")
+@query(
+    "w04_anchor_rows",
+    f"WITH {CURRENT}, p AS (SELECT book, page, list(-y ORDER BY y DESC) AS ys FROM e WHERE y IS NOT NULL GROUP BY 1, 2), s AS (SELECT book, page, list_reduce(list_transform(ys, lambda y: [y]), lambda a, b: CASE WHEN b[1] - a[-1] > 0.006 THEN list_append(a, b[1]) ELSE a END) AS starts FROM p) "
+    "SELECT e.book, e.page, len(list_filter(starts, lambda v: v <= -e.y))::INT AS band, e.x, e.element_key FROM e JOIN s ON s.book = e.book AND s.page = e.page WHERE e.y IS NOT NULL",
+)
 def anchor_rows(spark: SparkSession, d: str) -> DataFrame:
     """Printed rows of each page: elements within .006 of the row's topmost one."""
     e = current(spark, d, "book", "page", "y", "x")

@@ -207,7 +207,13 @@ def table_markdown(spark: SparkSession, d: str) -> DataFrame:
     return t.select("element_key", markdown(F.col("headers"), F.col("rows")).alias("markdown"))
 
 
-@query("k05_table_csv")
+_CSV = "array_to_string(list_transform({0}, lambda c: CASE WHEN regexp_matches(c, '[\",\r\n]') THEN '\"' || replace(c, '\"', '\"\"') || '\"' ELSE coalesce(c, '') END), ',')"
+
+
+@query(
+    "k05_table_csv",
+    f"WITH {CURRENT}, t AS (SELECT element_key, list_concat(CASE WHEN len(headers) > 0 THEN [{{'line': 0, 'text': {_CSV.format('headers')}}}] ELSE [] END, list_transform(rows, lambda r, i: {{'line': i::INT, 'text': {_CSV.format('r')}}})) AS ls FROM e WHERE type = 'table' AND rows IS NOT NULL) SELECT element_key, l.line, l.text FROM (SELECT element_key, unnest(ls) AS l FROM t)",
+)
 def table_csv(spark: SparkSession, d: str) -> DataFrame:
     return csv_lines(current(spark, d, "type", "headers", "rows").filter("type = 'table' AND rows IS NOT NULL"), "element_key")
 
