@@ -133,9 +133,13 @@ def looks_printed(line: str) -> bool:
     return re.fullmatch(r"~\s+\S.*\S\s+~", line) is not None or line.isupper() and sum(map(str.isalpha, line)) > 4 and line[-1] not in "-¬" or _CHAPTER.match(line) is not None
 
 
+#: shorter lines recur exactly: one edit makes `ingen` of the heading `Ringen`
+LEAST_NEAR = 6
+
+
 def edits(size: int) -> int:
-    """How many characters a recurring header may differ in: an eighth of its length, eight at most."""
-    return min(8, max(1, size // 8))
+    """How many characters a recurring header may differ in: an eighth of its length, one at least and eight at most; none if it is short."""
+    return min(8, max(1, size // 8)) if size >= LEAST_NEAR else 0
 
 
 @lru_cache(maxsize=None)
@@ -146,7 +150,7 @@ def cuts(size: int, d: int) -> list[tuple[int, int]]:
 def stored_pieces(key: str) -> Iterator[str]:
     """Pieces under which a key is found by every line within that line's edits."""
     n = len(key)
-    for d in {edits(m) for m in range(max(6, n - 8), n + 9) if abs(m - n) <= edits(m)}:
+    for d in {edits(m) for m in range(max(LEAST_NEAR, n - 8), n + 9) if abs(m - n) <= edits(m)}:
         for i, (a, b) in enumerate(cuts(n, d)):
             yield f"{n} {d} {i} {key[a:b]}"
 
@@ -417,8 +421,36 @@ def word_counts(seen: DataFrame) -> DataFrame:
     return words.groupBy(F.lower("form").alias("word")).agg(F.sum("n").alias("n"), F.sum(small).alias("small"))
 
 
-def header_table(seen: DataFrame, lines: DataFrame) -> DataFrame:
-    """(book, key, value) of text lines that recur: `seed` if a page edge, title or heading (`lines`: book, text) says the same within a few edits, `repeat` if only edge lines of texts on other pages do."""
+@lru_cache(maxsize=100_000)
+def _bits(ch: str, n: int) -> int:
+    out = 0
+    for i in range(n):
+        out |= 1 << ((ord(ch) * 0x9E3779B1 + i * 0x85EBCA6B) >> 16 & 127)
+    return out
+
+
+def bag_bits(key: str) -> int:
+    """128 bits of the characters of a key, the second of a kind apart from the first and so on: an edit changes two of them at most."""
+    out = 0
+    for ch in set(key):
+        out |= _bits(ch, key.count(ch))
+    return out
+
+
+def _bags(keys: Column) -> Column:
+    @F.pandas_udf("struct<low: long, high: long>")
+    def bags(batch: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([((b & (1 << 64) - 1) - (1 << 63), (b >> 64) - (1 << 63)) for b in map(bag_bits, batch)], columns=["low", "high"], dtype="int64")
+
+    return bags(keys)
+
+
+def header_table(seen: DataFrame, lines: DataFrame, crowd: int = 4_096) -> DataFrame:
+    """(book, key, value) of text lines that recur: `seed` if a page edge, title or heading (`lines`: book, text) says the same within a few edits, `repeat` if only edge lines of texts on other pages do.
+
+    Of a book, each line is compared with all others of about its length by the bags of their characters, and by edits where
+    these are alike. Where there are more than `crowd` others, only those that share a piece with it are compared, which finds the same.
+    """
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -426,41 +458,43 @@ def header_table(seen: DataFrame, lines: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["book", "key"]).drop_duplicates().astype("string")
 
     def pieces(f, sized: bool = False):
-        """(line, piece), both as hashes of 8 bytes: rows are many, and what is found is looked at again."""
+        """(line, size, low, high, piece), lines and pieces as hashes of 8 bytes: rows are many, and what is found is looked at again."""
 
         def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 more = ((set(x),) for x in batch["sizes"]) if sized else ((),) * len(batch)
-                rows = [(line, xxhash.xxh3_64_intdigest(f"{b} {p}") - (1 << 63)) for line, b, k, m in zip(batch["line"], batch["book"], batch["key"], more) for p in dict.fromkeys(f(k, *m))]
-                yield pd.DataFrame(rows, columns=["line", "piece"], dtype="int64")
+                same = zip(batch["line"], batch["size"], batch["low"], batch["high"])
+                rows = [(*x, xxhash.xxh3_64_intdigest(f"{b} {p}") - (1 << 63)) for x, b, k, m in zip(same, batch["book"], batch["key"], more) for p in dict.fromkeys(f(k, *m))]
+                yield pd.DataFrame(rows, columns=[*compared, "piece"], dtype="int64")
 
-        return lambda df: df.filter("length(key) > 5").select("line", "book", "key", *["sizes"] * sized).mapInPandas(cut, "line long, piece long")
+        return lambda df: df.select(*compared, "book", "key", *["sizes"] * sized).mapInPandas(cut, "line long, size long, low long, high long, piece long")
 
-    named = lambda df: df.withColumn("line", F.xxhash64("book", "key"))
+    compared = ["line", "size", "low", "high"]
+    other = lambda df: df.withColumnsRenamed({c: f"other_{c}" for c in compared})
     seeds = lines.filter("book IS NOT NULL AND text IS NOT NULL").select("book", "text").distinct().mapInPandas(keys, "book string, key string").distinct()
-    own = seen.filter("kind = 'line' AND book IS NOT NULL").groupBy("book", "key").agg(F.count_distinct("page").alias("pages"), F.min("page").alias("first"), F.max("page").alias("last"))
-    own = checkpointed(named(own.join(seeds.withColumn("seed", F.lit(True)), ["book", "key"], "left")))
-    exact = own.filter("seed OR pages > 1").select("book", "key", F.when(F.col("seed"), "seed").otherwise("repeat").alias("value"))
-    single = own.filter("seed IS NULL AND pages < 2")
-    repeated = own.filter("seed IS NULL AND pages > 1").select("book", "key", F.lit("repeat").alias("value"))
-    known = named(seeds.withColumn("value", F.lit("seed")).unionByName(repeated))
-    within = lambda a, b: F.levenshtein(a, b, 8).between(0, F.least(F.lit(8), F.greatest(F.lit(1), F.floor(F.length(a) / 8))))
-    # the lengths that a book's known keys have are few, and most lines of prose are longer than any
-    sizes = known.filter("length(key) > 5").groupBy("book").agg(F.collect_set(F.length("key")).alias("sizes"))
-    sought = single.join(sizes, "book").filter(F.exists("sizes", lambda n: F.abs(n - F.length("key")) <= 8))
-    met = pieces(sought_pieces, True)(sought).join(pieces(stored_pieces)(known).select("piece", F.col("line").alias("other_line")), "piece").select("line", "other_line").distinct()
-    other = known.select(F.col("line").alias("other_line"), F.col("book").alias("other_book"), F.col("key").alias("other"), "value")
-    near = met.join(single, "line").join(other, "other_line").filter((F.col("book") == F.col("other_book")) & within(F.col("key"), F.col("other"))).select("book", "key", "value")
-    # forms that occur once each: of those that share a piece, the first and the last page's stand for all
-    placed = single.filter("first IS NOT NULL")
-    equal = pieces(lambda k: (f"{len(k)} {i} {k[a:b]}" for i, (a, b) in enumerate(cuts(len(k), edits(len(k))))))(placed)
-    shared = equal.join(placed.select("line", "first", "last"), "line")
-    ends = shared.groupBy("piece").agg(F.min(F.struct("first", "line")).alias("lo"), F.max(F.struct("last", "line")).alias("hi")).filter("lo.first <> hi.last")
-    pairs = shared.join(ends, "piece").select("line", "first", "last", F.explode(F.array(F.struct(F.col("lo.first").alias("page"), F.col("lo.line").alias("line")), F.struct(F.col("hi.last").alias("page"), F.col("hi.line").alias("line")))).alias("end"))
-    pairs = pairs.filter("end.page <> first AND end.page <> last").select("line", F.col("end.line").alias("other_line")).distinct()
-    twin = placed.select(F.col("line").alias("other_line"), F.col("book").alias("other_book"), F.col("key").alias("other"))
-    variants = pairs.join(placed, "line").join(twin, "other_line").filter((F.col("book") == F.col("other_book")) & within(F.col("key"), F.col("other")))
-    return exact.unionByName(near).unionByName(variants.select("book", "key", F.lit("repeat").alias("value"))).groupBy("book", "key").agg(F.max("value").alias("value"))
+    own = seen.filter("kind = 'line' AND book IS NOT NULL").groupBy("book", "key").agg(F.min("page").alias("first"), F.max("page").alias("last"))
+    table = own.withColumn("said", F.lit(True)).join(seeds.withColumn("seed", F.lit(True)), ["book", "key"], "full").fillna(False, ["said", "seed"])
+    table = table.withColumns({"line": F.xxhash64("book", "key"), "size": F.length("key").cast("long"), "bag": _bags("key")})
+    table = checkpointed(table.select("book", "key", "first", "last", "said", "seed", "line", "size", "bag.low", "bag.high"))
+    asking, asked = table.filter(f"said AND NOT seed AND size >= {LEAST_NEAR}"), table.filter("seed OR first IS NOT NULL")
+    # lines meet in blocks of a book's lines of 16 lengths: one or two hold all that are within a line's edits
+    within = "least(8, greatest(1, size div 8))"
+    asks = asking.withColumn("block", F.explode(F.expr(f"transform(sequence((size - {within}) div 16, (size + {within}) div 16), b -> xxhash64(book, b))")))
+    blocks = asked.withColumn("block", F.expr("xxhash64(book, size div 16)"))
+    alike = F.expr(f"line <> other_line AND abs(size - other_size) <= {within} AND bit_count(low ^ other_low) + bit_count(high ^ other_high) <= 2 * {within}")
+    crowded = checkpointed(blocks.groupBy("block").agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).filter(F.col("n") > crowd).select("block", "sizes"))
+    some = not crowded.isEmpty()
+    few = blocks.join(crowded, "block", "left_anti") if some else blocks
+    met = asks.select("block", *compared).join(other(few.select("block", *compared)), "block").filter(alike).select("line", "other_line")
+    if some:
+        sought, stored = pieces(sought_pieces, True)(asks.join(crowded, "block")), pieces(stored_pieces)(blocks.join(crowded, "block"))
+        met = met.unionByName(sought.join(other(stored), "piece").filter(alike).select("line", "other_line").distinct())
+    found = asked.select(F.col("line").alias("other_line"), F.col("book").alias("other_book"), F.col("key").alias("other"), F.col("first").alias("other_first"), F.col("last").alias("other_last"), F.col("seed").alias("other_seed"))
+    near = met.join(asking, "line").join(found, "other_line").filter((F.col("book") == F.col("other_book")) & (F.levenshtein("key", "other", 8).between(0, F.expr(within))))
+    near = near.select("book", "key", F.least("first", "other_first").alias("first"), F.greatest("last", "other_last").alias("last"), F.col("other_seed").alias("seed"))
+    exact = table.filter("said AND (seed OR first <> last)").select("book", "key", "first", "last", "seed")
+    every = exact.unionByName(near).groupBy("book", "key").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("seed").alias("seed"))
+    return every.filter("seed OR first <> last").select("book", "key", F.when(F.col("seed"), "seed").otherwise("repeat").alias("value"))
 
 
 def offset_table(seen: DataFrame, artifacts: DataFrame, least: int = 3) -> DataFrame:

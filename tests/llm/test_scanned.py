@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kvarto.llm.scanned import (
-    Confusions, Lexicon, Repairer, cuts, differing, edits, header_parts, header_table, is_page, learn, learn_confusions, observed, offset_table, pair_table, repair_texts, roman, sought_pieces, stored_pieces, word_counts, word_readings,
+    Confusions, Lexicon, Repairer, bag_bits, cuts, differing, edits, header_parts, header_table, is_page, learn, learn_confusions, observed, offset_table, pair_table, repair_texts, roman, sought_pieces, stored_pieces, word_counts, word_readings,
 )
 
 COMMON = {w: 100 for w in "den gamla ringen lurar någon rollpersonen till bergjägaren hamnen ligger under vatten spelledaren slår och ser sjömannen vakten inget som för person".split()} | {"SL-person": 50, "Ulgrinäs": 40}
@@ -125,6 +125,47 @@ def test_headers_by_repetition(spark):
     assert got == {("b", "askpärmen"): "seed", ("b", "askpärmfn"): "seed", ("b", "långatitelnomberg"): "repeat", ("b", "långatitelnombepg"): "repeat"}
 
 
+def test_no_recurring_line_is_left_out(spark):
+    """All pairs within the edits: forms between the first and the last page's, longer and shorter ones, misread titles that recur; against trying all."""
+    first, last, a, b = "abcdefgh" + "ijklmnop", "abcdefgh" + "yyyyyyyy", "abcdefgh" + "qrstuvxz", "abcdefgh" + "qrstuvxy"
+    said = [("b", first, 1), ("b", a, 3), ("b", b, 5), ("b", last, 9), ("c", "sagornasbergtopp", 1), ("c", "xsagornasbergtop", 2), ("c", "sagornasbergtop", None), ("d", "askpärmfn", 1), ("d", "askpärmfn", 2), ("d", "runnor", 4), ("d", "ingen", 4), ("e", "ensamtorn", 1), ("e", "ensamtorm", 1)]
+    seeds = [("d", "askpärmen"), ("d", "runor"), ("d", "ringen")]
+    r = random.Random(8)
+    for book in "fghi":
+        stems = ["".join(r.choice("abcdef") for _ in range(r.choice([4, 9, 14, 15, 16, 24, 40, 70]))) for _ in range(12)]
+        for _ in range(90):
+            key = list(r.choice(stems))
+            for _ in range(r.randint(0, 1 + len(key) // 6)):
+                at = r.randrange(len(key))
+                key[at : at + 1] = r.choice(["", "ab", "g"])
+            if len(key) > 2:
+                said.append((book, "".join(key), r.choice([None, 1, 1, 2, 3])))
+        seeds += [(book, s) for s in stems[:2]]
+    seeds = sorted(set(seeds))
+
+    def direct(book, key):
+        if any(c == book and _distance(key, s) <= edits(len(key)) for c, s in seeds):
+            return "seed"
+        return "repeat" if len({p for c, k, p in said if c == book and p and (k == key or _distance(key, k) <= edits(len(key)))}) > 1 else None
+
+    seen = spark.createDataFrame([("line", c, k, p, 1) for c, k, p in said], "kind string, book string, key string, page int, n long")
+    lines = spark.createDataFrame(seeds, "book string, text string")
+    expected = {(c, k): v for c, k in {x[:2] for x in said} if (v := direct(c, k))}
+    assert [expected.get(x) for x in (("b", first), ("b", a), ("b", b), ("c", "sagornasbergtop"), ("d", "askpärmfn"), ("d", "runnor"), ("d", "ingen"), ("e", "ensamtorn"))] == [None, "repeat", "repeat", "repeat", "seed", "seed", None, None]
+    for crowd in (4_096, 20, 0):
+        got = header_table(seen, lines, crowd).collect()
+        assert {(r["book"], r["key"]): r["value"] for r in got} == expected and len(got) == len(expected)
+
+
+def test_an_edit_changes_two_bits_of_a_bag():
+    r = random.Random(9)
+    for _ in range(500):
+        key = [r.choice("abcdeåäö1") for _ in range(r.randint(3, 90))]
+        other, at = key.copy(), r.randrange(len(key))
+        other[at : at + 1] = r.choice(["", "ab", "g"])
+        assert (bag_bits("".join(key)) ^ bag_bits("".join(other))).bit_count() <= 2 * _distance(key, other)
+
+
 def test_offsets_follow_sequences(spark):
     texts = [("text", i, "b", i, f"den\n- {i + 4} -\ngamla") for i in range(1, 6)] + [("text", 9, "b", 9, "den\n77\ngamla"), ("text", 10, "c", 9, "den\n7\ngamla")]
     seen = observed(spark.createDataFrame(texts, TEXTS))
